@@ -8,7 +8,7 @@ from deltaextract.operators.changes import (
     outside_periods,
     previous_in_scope,
 )
-from deltaextract.operators.cohort import cohort_keys, org_filter
+from deltaextract.operators.cohort import CohortLists, cohort_keys, org_filter
 from deltaextract.operators.control import control_rows, part_count, record_counts
 from deltaextract.operators.extract import extract_delta, live_keys
 from deltaextract.operators.fingerprint import fingerprint
@@ -16,6 +16,7 @@ from deltaextract.operators.project import project, project_keys, source_rows
 from deltaextract.operators.snapshot import carry_over, merge_snapshot, snapshot_schema
 
 __all__ = [
+    "CohortLists",
     "carry_over",
     "changed_entity_keys",
     "changed_folder_list",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from deltaextract.config import EntitySpec
 from deltaextract.operators.project import source_rows
-from deltaextract.operators.sizing import BROADCAST_BYTES, is_small
+from deltaextract.operators.sizing import BROADCAST_BYTES, are_small
 
 
 def org_filter(dimension: DataFrame, code_column: str, region_column: str, region: str) -> DataFrame:
@@ -22,32 +23,38 @@ def org_filter(dimension: DataFrame, code_column: str, region_column: str, regio
     )
 
 
-def cohort_keys(
-    parent: DataFrame,
-    lists: Sequence[tuple[DataFrame, str]],
-    spec: EntitySpec,
-    fy: str,
-    *,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
+@dataclass(frozen=True)
+class CohortLists:
+    """Organisation lists paired with the parent column each is matched on, measured once for any number of parents."""
+
+    pairs: tuple[tuple[DataFrame, str], ...]
+    small: bool
+
+    @classmethod
+    def measure(cls, pairs: Sequence[tuple[DataFrame, str]], broadcast_bytes: int = BROADCAST_BYTES) -> CohortLists:
+        """``pairs`` hold frames of distinct ``org_code``."""
+        return cls(tuple(pairs), are_small([orgs for orgs, _ in pairs], broadcast_bytes))
+
+
+def cohort_keys(parent: DataFrame, lists: CohortLists, spec: EntitySpec, fy: str) -> DataFrame:
     """Distinct (keys, FY) of parent rows matched by any of the organisation lists.
 
-    ``lists`` pairs a frame of distinct ``org_code`` with the parent column it is matched on. Lists measured as small
-    are broadcast and looked up in one pass over the parent. Otherwise each list is a left semi join of its own, which
-    Spark may sort-merge and split on skewed codes; the final distinct merges the matches, so both give the same rows.
+    Lists measured as small are broadcast and looked up in one pass over the parent. Otherwise each list is a left semi
+    join of its own, which Spark may sort-merge and split on skewed codes; the final distinct merges the matches, so
+    both give the same rows.
     """
     rows = source_rows(parent, spec)
     key_fy = [*spec.keys, fy]
 
-    if all(is_small(orgs, broadcast_bytes) for orgs, _ in lists):
-        matched = rows
-        for i, (orgs, column) in enumerate(lists):
-            hits = orgs.where("org_code IS NOT NULL").withColumnRenamed("org_code", f"__org{i}")
-            matched = matched.join(F.broadcast(hits), F.col(column) == F.col(f"__org{i}"), "left")
-        any_hit = reduce(lambda a, b: a | b, [F.col(f"__org{i}").isNotNull() for i in range(len(lists))])
-        return matched.where(any_hit).select(*key_fy).distinct()
+    if lists.small:
+        matched, hits = rows, []
+        for i, (orgs, column) in enumerate(lists.pairs):
+            codes = orgs.where("org_code IS NOT NULL").withColumnRenamed("org_code", f"__org{i}")
+            matched = matched.join(F.broadcast(codes), F.col(column) == F.col(f"__org{i}"), "left")
+            hits.append(F.col(f"__org{i}").isNotNull())
+        return matched.where(reduce(lambda a, b: a | b, hits)).select(*key_fy).distinct()
 
     parts = [
-        rows.join(orgs, F.col(column) == F.col("org_code"), "left_semi").select(*key_fy) for orgs, column in lists
+        rows.join(orgs, F.col(column) == F.col("org_code"), "left_semi").select(*key_fy) for orgs, column in lists.pairs
     ]
     return reduce(DataFrame.unionByName, parts).distinct()

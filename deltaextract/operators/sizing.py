@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,11 +12,15 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 _ROW_OVERHEAD = 32
 
 
-def text_bytes(frame: DataFrame) -> int:
-    """Measured size of a frame's values as text plus a per-row overhead: one aggregation, one row back."""
-    width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in frame.columns), F.lit(_ROW_OVERHEAD))
-    return frame.agg(F.sum(width.cast("long"))).first()[0] or 0
+def text_bytes(frames: Sequence[DataFrame]) -> int:
+    """Measured size of the frames' values as text plus a per-row overhead: one job, one row back."""
+
+    def measured(frame: DataFrame) -> DataFrame:
+        widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in frame.columns]
+        return frame.agg(F.sum(reduce(lambda a, b: a + b, widths, F.lit(_ROW_OVERHEAD)).cast("long")).alias("bytes"))
+
+    return reduce(DataFrame.unionByName, map(measured, frames)).agg(F.sum("bytes")).first()[0] or 0
 
 
-def is_small(frame: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    return text_bytes(frame) <= max_bytes
+def are_small(frames: Sequence[DataFrame], max_bytes: int = BROADCAST_BYTES) -> bool:
+    return text_bytes(frames) <= max_bytes

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import partial
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -20,11 +20,12 @@ from deltaextract.operators.changes import (
     entity_folders,
     in_periods,
 )
-from deltaextract.operators.cohort import cohort_keys, org_filter
+from deltaextract.operators.cohort import CohortLists, cohort_keys, org_filter
 from deltaextract.operators.control import control_rows
 from deltaextract.operators.extract import extract_delta, live_keys
 from deltaextract.operators.fingerprint import SPLIT_ROWS, fingerprint
 from deltaextract.operators.snapshot import merge_snapshot, snapshot_schema
+from deltaextract.plans.concurrent import side_by_side
 from deltaextract.sources.delivery import ENCODING, charset_allowed, delivered_files, write_control, write_delivery
 from deltaextract.sources.folders import FOLDER_STATE, folder_listing, read_folder_state, write_folder_state
 from deltaextract.sources.runs import completed_runs, read_snapshot, record_run
@@ -80,11 +81,12 @@ def run_feed(
         log.info("%s: no changed periods", feed.name)
         return FeedRun(run.run_id, ())
 
-    with charset_allowed(spark, encoding), ThreadPoolExecutor(concurrency) as pool:
+    with charset_allowed(spark, encoding):
 
         def each(step: Callable[[_A], _B], items: Iterable[_A]) -> list[_B]:
-            return list(pool.map(step, items))
+            return side_by_side([partial(step, item) for item in items], concurrency)
 
+        run.read_lists()
         each(run.store_cohort, feed.families)
         each(lambda member: run.store_fingerprints(*member, split_rows), run.members)
         each(lambda family: run.store_changed_keys(family, detect_vanished), feed.families)
@@ -160,16 +162,18 @@ class _Run:
 
     # -- which records ------------------------------------------------------------------------------------------
 
+    def read_lists(self) -> None:
+        pairs = []
+        for i, d in enumerate(self.feed.dimensions):
+            path = f"{self.work}/organisations_{i}"
+            codes = org_filter(self.spark.read.parquet(d.path), d.code_column, d.region_column, d.region)
+            codes.write.mode("overwrite").parquet(path)
+            pairs.append((self.spark.read.schema(codes.schema).parquet(path), d.fact_column))
+        self.lists = CohortLists.measure(pairs)
+
     def store_cohort(self, family: FamilySpec) -> None:
-        lists = [
-            (
-                org_filter(self.spark.read.parquet(d.path), d.code_column, d.region_column, d.region),
-                d.fact_column,
-            )
-            for d in self.feed.dimensions
-        ]
-        parent = self._sources[family.parent.name]
-        cohort_keys(parent, lists, family.parent, self.fy).write.mode("overwrite").parquet(self._cohort(family))
+        keys = cohort_keys(self._sources[family.parent.name], self.lists, family.parent, self.fy)
+        keys.write.mode("overwrite").parquet(self._cohort(family))
 
     def store_fingerprints(self, family: FamilySpec, entity: EntitySpec, split_rows: int) -> None:
         cohort = self.spark.read.parquet(self._cohort(family))

@@ -6,11 +6,16 @@ practice. Financial years run from April to March.
 
 from __future__ import annotations
 
+from functools import cached_property
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deltaextract.config import EntitySpec
-from deltaextract.operators import changed_periods, cohort_keys, fingerprint, in_periods, org_filter
+from deltaextract.operators import CohortLists, changed_periods, cohort_keys, fingerprint, in_periods, org_filter
+from deltaextract.plans.concurrent import side_by_side
+from deltaextract.sources.shared import stored
 
 SALT = "test-salt"
 PROVIDER_REGION = "ASIA"
@@ -129,7 +134,7 @@ class Fixtures:
             F.col("c_mktsegment").alias("region_code"),
         )
 
-    def org_lists(self) -> list[tuple[DataFrame, str]]:
+    def org_pairs(self) -> list[tuple[DataFrame, str]]:
         return [
             (org_filter(self.providers(), "org_code", "region_code", PROVIDER_REGION), "provider_code"),
             (org_filter(self.gp_practices(), "org_code", "region_code", GP_REGION), "gp_code"),
@@ -159,22 +164,41 @@ class Fixtures:
     def periods(self) -> DataFrame:
         return changed_periods(self.folders(), self.folders_previous())
 
+    @cached_property
     def changed_fys(self) -> list[str]:
+        """A few per calendar decade."""
         return [p.fy for p in self.periods().collect()]
 
+    @cached_property
+    def org_lists(self) -> CohortLists:
+        return CohortLists.measure(self.org_pairs())
+
     def cohort(self) -> DataFrame:
-        return cohort_keys(self.parent(), self.org_lists(), PARENT, "fy")
+        return cohort_keys(self.parent(), self.org_lists, PARENT, "fy")
+
+    # Stored as in a feed run: parent and child read the same key sets.
 
+    @cached_property
+    def cohort_in_changed(self) -> DataFrame:
+        return stored(in_periods(self.cohort(), self.changed_fys, "fy"), "cohort")
+
+    @cached_property
     def cohort_previous(self) -> DataFrame:
-        return cohort_keys(self.parent_previous(), self.org_lists(), PARENT, "fy")
+        return stored(cohort_keys(self.parent_previous(), self.org_lists, PARENT, "fy"), "cohort_previous")
 
-    def cohort_in_changed(self, fys: list[str]) -> DataFrame:
-        return in_periods(self.cohort(), fys, "fy")
+    def prepare_cohorts(self) -> None:
+        _ = self.changed_fys, self.org_lists
+        side_by_side([lambda: self.cohort_in_changed, lambda: self.cohort_previous])
 
-    def current_fingerprints(self, spec: EntitySpec, fys: list[str], **options: object) -> DataFrame:
+    def current_fingerprints(self, spec: EntitySpec, **options: Any) -> DataFrame:
         source = self.parent() if spec is PARENT else self.child()
-        return fingerprint(in_periods(source, fys, "fy"), self.cohort_in_changed(fys), spec, "fy", **options)
+        return fingerprint(in_periods(source, self.changed_fys, "fy"), self.cohort_in_changed, spec, "fy", **options)
 
     def previous_fingerprints(self, spec: EntitySpec) -> DataFrame:
         source = self.parent_previous() if spec is PARENT else self.child_previous()
-        return fingerprint(source, self.cohort_previous(), spec, "fy")
+        return fingerprint(source, self.cohort_previous, spec, "fy")
+
+    def previous_in_changed(self, spec: EntitySpec) -> DataFrame:
+        """The previous snapshot of the changed FYs; only their rows are read."""
+        source = self.parent_previous() if spec is PARENT else self.child_previous()
+        return fingerprint(in_periods(source, self.changed_fys, "fy"), self.cohort_previous, spec, "fy")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import partial
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from deltaextract.config import Dimension, EntitySpec, FeedSpec
 from deltaextract.functions import folder_to_fy, folder_year, row_hash
 from deltaextract.operators import (
+    CohortLists,
     carry_over,
     changed_entity_keys,
     changed_folder_list,
@@ -35,6 +37,7 @@ from deltaextract.operators import (
 )
 from deltaextract.operators.project import ROW_ALIAS, hash_columns
 from deltaextract.plans.feed import run_feed
+from deltaextract.plans.concurrent import side_by_side
 from deltaextract.plans.fixtures import (
     CHILD,
     CHILD_MAPPING,
@@ -211,7 +214,7 @@ def cohort(fx: Fixtures) -> DataFrame:
 
 @_query("cohort_keys_large_lists")
 def cohort_large_lists(fx: Fixtures) -> DataFrame:
-    return cohort_keys(fx.parent(), fx.org_lists(), PARENT, "fy", broadcast_bytes=0)
+    return cohort_keys(fx.parent(), CohortLists.measure(fx.org_pairs(), broadcast_bytes=0), PARENT, "fy")
 
 
 # -- periods and folder state ---------------------------------------------------------------------------------------
@@ -247,9 +250,10 @@ def folder_state_roundtrip(fx: Fixtures) -> DataFrame:
 
 
 def _write_folders(frame: DataFrame, base: str, fys: list[str]) -> None:
-    for fy in fys:
-        folder = f"FY{fy[:4]}-{fy[5:]}"
-        frame.where(F.col("fy") == fy).write.mode("overwrite").parquet(f"{base}/{folder}")
+    def write(fy: str) -> None:
+        frame.where(F.col("fy") == fy).write.mode("overwrite").parquet(f"{base}/FY{fy[:4]}-{fy[5:]}")
+
+    side_by_side([partial(write, fy) for fy in fys])
 
 
 @_query("folder_mod_times")
@@ -268,17 +272,17 @@ def folder_mod_times(fx: Fixtures) -> DataFrame:
 
 @_query("fingerprint_parent")
 def fingerprint_parent(fx: Fixtures) -> DataFrame:
-    return fx.current_fingerprints(PARENT, fx.changed_fys())
+    return fx.current_fingerprints(PARENT)
 
 
 @_query("fingerprint_child")
 def fingerprint_child(fx: Fixtures) -> DataFrame:
-    return fx.current_fingerprints(CHILD, fx.changed_fys())
+    return fx.current_fingerprints(CHILD)
 
 
 @_query("fingerprint_split")
 def fingerprint_split(fx: Fixtures) -> DataFrame:
-    return fx.current_fingerprints(CHILD, fx.changed_fys(), split_rows=SPLIT_ROWS)
+    return fx.current_fingerprints(CHILD, split_rows=SPLIT_ROWS)
 
 
 MULTI = _spec(["rec_id", "status", "total_price"])
@@ -299,35 +303,42 @@ def key_join_inner(fx: Fixtures) -> DataFrame:
 # -- changed keys ---------------------------------------------------------------------------------------------------
 
 
-def _pair(fx: Fixtures, spec: EntitySpec, fys: list[str]) -> tuple[DataFrame, DataFrame]:
-    return fx.current_fingerprints(spec, fys), in_periods(fx.previous_fingerprints(spec), fys, "fy")
+def _pair(fx: Fixtures, spec: EntitySpec) -> tuple[DataFrame, DataFrame]:
+    return fx.current_fingerprints(spec), fx.previous_in_changed(spec)
+
+
+def _pairs(fx: Fixtures) -> list[tuple[DataFrame, DataFrame]]:
+    """Parent and child; their group-size checks are independent jobs and run side by side."""
+    fx.prepare_cohorts()
+    builds = [b for spec in (PARENT, CHILD) for b in (partial(fx.current_fingerprints, spec), partial(fx.previous_in_changed, spec))]
+    frames = side_by_side(builds)
+    return [(frames[0], frames[1]), (frames[2], frames[3])]
 
 
-def _changed(fx: Fixtures, fys: list[str]) -> DataFrame:
-    return changed_keys([_pair(fx, PARENT, fys), _pair(fx, CHILD, fys)], PARENT.keys)
+def _changed(fx: Fixtures) -> DataFrame:
+    return changed_keys(_pairs(fx), PARENT.keys)
 
 
 @_query("changed_parent")
 def changed_parent(fx: Fixtures) -> DataFrame:
-    return changed_entity_keys(*_pair(fx, PARENT, fx.changed_fys()), PARENT.keys)
+    return changed_entity_keys(*_pair(fx, PARENT), PARENT.keys)
 
 
 @_query("changed_child")
 def changed_child(fx: Fixtures) -> DataFrame:
-    return changed_entity_keys(*_pair(fx, CHILD, fx.changed_fys()), CHILD.keys)
+    return changed_entity_keys(*_pair(fx, CHILD), CHILD.keys)
 
 
 @_query("changed_keys")
 def changed_family(fx: Fixtures) -> DataFrame:
-    return _changed(fx, fx.changed_fys())
+    return _changed(fx)
 
 
 @_query("changed_keys_vanished")
 def changed_family_vanished(fx: Fixtures) -> DataFrame:
-    fys = fx.changed_fys()
-    rows = in_periods(fx.child().where(F.col("rec_id") % 31 != 0), fys, "fy")
-    child = fingerprint(rows, fx.cohort_in_changed(fys), CHILD, "fy")
-    pairs = [_pair(fx, PARENT, fys), (child, in_periods(fx.previous_fingerprints(CHILD), fys, "fy"))]
+    rows = in_periods(fx.child().where(F.col("rec_id") % 31 != 0), fx.changed_fys, "fy")
+    child = fingerprint(rows, fx.cohort_in_changed, CHILD, "fy")
+    pairs = [_pair(fx, PARENT), (child, fx.previous_in_changed(CHILD))]
     return changed_keys(pairs, PARENT.keys, detect_vanished=True)
 
 
@@ -336,14 +347,12 @@ def changed_family_vanished(fx: Fixtures) -> DataFrame:
 
 @_query("delta_parent")
 def delta_parent(fx: Fixtures) -> DataFrame:
-    fys = fx.changed_fys()
-    return extract_delta(in_periods(fx.parent(), fys, "fy"), _changed(fx, fys), PARENT, SALT)
+    return extract_delta(in_periods(fx.parent(), fx.changed_fys, "fy"), _changed(fx), PARENT, SALT)
 
 
 @_query("delta_child")
 def delta_child(fx: Fixtures) -> DataFrame:
-    fys = fx.changed_fys()
-    return extract_delta(in_periods(fx.child(), fys, "fy"), _changed(fx, fys), CHILD, SALT)
+    return extract_delta(in_periods(fx.child(), fx.changed_fys, "fy"), _changed(fx), CHILD, SALT)
 
 
 @_query("csv_roundtrip")
@@ -387,7 +396,7 @@ def snapshot_roundtrip(fx: Fixtures) -> DataFrame:
 @_query("bootstrap_snapshot")
 def bootstrap_snapshot(fx: Fixtures) -> DataFrame:
     previous = read_or_empty(fx.spark, scratch_path(fx.spark, "no_snapshot"), SNAPSHOT)
-    return changed_entity_keys(fx.current_fingerprints(PARENT, fx.changed_fys()), previous, PARENT.keys)
+    return changed_entity_keys(fx.current_fingerprints(PARENT), previous, PARENT.keys)
 
 
 @_query("previous_in_scope")
@@ -401,8 +410,7 @@ def carried(fx: Fixtures) -> DataFrame:
 
 
 def _merged(fx: Fixtures, spec: EntitySpec) -> DataFrame:
-    fys = fx.changed_fys()
-    return merge_snapshot(fx.current_fingerprints(spec, fys), fx.previous_fingerprints(spec), fys, "fy")
+    return merge_snapshot(fx.current_fingerprints(spec), fx.previous_fingerprints(spec), fx.changed_fys, "fy")
 
 
 @_query("merge_snapshot")
@@ -453,7 +461,7 @@ def feed_second_run(fx: Fixtures) -> DataFrame:
         _write_folders(previous, f"{base}/{name}", fys)
     run_feed(fx.spark, feed, SALT)
 
-    changed = fx.changed_fys()
+    changed = fx.changed_fys
     for name, (_, current) in sources.items():
         _write_folders(current, f"{base}/{name}", changed)
     run = run_feed(fx.spark, feed, SALT)

@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("deltaextract-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", "8g")
