@@ -24,6 +24,7 @@ from deltaextract.config import EntitySpec
 from deltaextract.functions import group_digest, row_digest
 from deltaextract.functions.hashing import SEPARATOR
 from deltaextract.operators.project import ROW_ALIAS, hash_columns, source_rows
+from deltaextract.operators.sizing import BROADCAST_BYTES, measured
 from deltaextract.sources.shared import stored
 
 log = logging.getLogger(__name__)
@@ -44,40 +45,50 @@ def fingerprint(
     split_rows: int = SPLIT_ROWS,
     encoding: str = "joined",
     fan_out: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(keys, FY, hash, hash_count) of all source rows whose key is in the cohort.
 
     Rows with a null key never match. By default a key matches once however many FYs it has in ``cohort``; with
     ``fan_out`` every cohort row of the key repeats its source rows, as a plain inner join does.
+
+    One job over the key columns runs right away, to find oversized groups and measure the cohort; ``cohort`` is read
+    again later and is best a stored frame.
     """
     keys = list(spec.keys)
     group = [*keys, fy]
     source = source_rows(source, spec)
     if fan_out:
         source = source.join(cohort.select(*keys), keys, "inner")
+    in_cohort = cohort.select(*keys).distinct()
 
-    oversized = _oversized_groups(source, keys, fy, split_rows)
+    groups = _inspect(source, cohort, keys, fy, split_rows)
     small_source = source
-    if oversized is not None:
-        small_source = source.join(oversized.groups, _same_group(source, oversized.groups, keys, fy), "left_anti")
+    if groups.oversized is not None:
+        small_source = source.join(groups.oversized, _same_group(source, groups.oversized, keys, fy), "left_anti")
 
-    # Digests first, join second: what is shuffled is 32 bytes per row, not the row. An inner join on unique keys
-    # equals the semi join here, and Catalyst does not push it below the projection.
-    in_cohort = cohort.select(*keys).distinct()
-    small = _digests(small_source, spec, fy, encoding)
-    if not fan_out:
-        small = small.join(in_cohort, keys, "inner")
+    if fan_out:
+        small = _digests(small_source, spec, fy, encoding)
+    elif groups.cohort_bytes <= broadcast_bytes:
+        # Few keys: rows are dropped before anything is hashed or shuffled.
+        matching = small_source.join(F.broadcast(in_cohort), keys, "left_semi")
+        small = _digests(matching, spec, fy, encoding)
+    else:
+        # Many keys: digests first, join second, so that 32 bytes per row are shuffled and not the row. An inner join
+        # on unique keys equals the semi join, and Catalyst does not push it below the projection.
+        small = _digests(small_source, spec, fy, encoding).join(in_cohort, keys, "inner")
+    # Rows meet by key before they are collected: collecting map-side as well would not make them fewer.
     result = (
         small.repartition(*[F.col(k) for k in keys])
         .groupBy(*group)
         .agg(group_digest(F.col("__digest")).alias("hash"), F.count(F.lit(1)).alias("hash_count"))
     )
-    if oversized is None:
+    if groups.oversized is None:
         return result
 
     large = _digests(source, spec, fy, encoding)
-    if oversized.listed:
-        large = large.join(oversized.groups, _same_group(large, oversized.groups, keys, fy), "left_semi")
+    if groups.listed:
+        large = large.join(groups.oversized, _same_group(large, groups.oversized, keys, fy), "left_semi")
     # The tree keeps large groups only, also where too many of them to list were not selected beforehand.
     trees = _digest_tree(large, keys, fy).where(F.col("hash_count") > split_rows)
     if not fan_out:
@@ -96,28 +107,35 @@ def _same_group(left: DataFrame, right: DataFrame, keys: list[str], fy: str) ->
 
 
 @dataclass(frozen=True)
-class _Oversized:
-    groups: DataFrame
-    listed: bool
+class _Groups:
+    cohort_bytes: int
+    oversized: DataFrame | None = None
+    listed: bool = True
 
 
-def _oversized_groups(source: DataFrame, keys: list[str], fy: str, split_rows: int) -> _Oversized | None:
-    """Groups with more than ``split_rows`` rows, or None. Reads only key and FY columns; counts combine map-side."""
+def _inspect(source: DataFrame, cohort: DataFrame, keys: list[str], fy: str, split_rows: int) -> _Groups:
+    """Size of the cohort and the groups with more than ``split_rows`` rows; counts combine map-side."""
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     sizes = source.groupBy(*keys, fy).agg(F.count(F.lit(1)).alias("__n"))
     is_large = (F.col("__n") > split_rows) & ~no_key
-    seen = sizes.agg(
+    found = sizes.agg(
         F.count(F.when(is_large, 1)).alias("large"), F.sum(F.when(no_key, F.col("__n"))).alias("keyless")
-    ).first()
+    )
+    seen = (
+        found.unionByName(measured(cohort.select(*keys)), allowMissingColumns=True)
+        .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("large", "keyless", "bytes")])
+        .first()
+    )
     if seen.keyless:
         log.warning("%d rows without a key are left out", seen.keyless)
     if not seen.large:
-        return None
+        return _Groups(seen.bytes)
     log.info("%d groups hold more than %d rows each and are hashed in slices", seen.large, split_rows)
     large = sizes.where(is_large).select(*keys, fy)
     if seen.large > _LISTED_GROUPS:
-        return _Oversized(stored(large, "oversized_groups"), listed=False)
-    return _Oversized(F.broadcast(large.sparkSession.createDataFrame(large.collect(), large.schema)), listed=True)
+        return _Groups(seen.bytes, stored(large, "oversized_groups"), listed=False)
+    listed = large.sparkSession.createDataFrame(large.collect(), large.schema)
+    return _Groups(seen.bytes, F.broadcast(listed))
 
 
 def _digest_tree(rows: DataFrame, keys: list[str], fy: str) -> DataFrame:

@@ -12,15 +12,13 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 _ROW_OVERHEAD = 32
 
 
-def text_bytes(frames: Sequence[DataFrame]) -> int:
-    """Measured size of the frames' values as text plus a per-row overhead: one job, one row back."""
-
-    def measured(frame: DataFrame) -> DataFrame:
-        widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in frame.columns]
-        return frame.agg(F.sum(reduce(lambda a, b: a + b, widths, F.lit(_ROW_OVERHEAD)).cast("long")).alias("bytes"))
-
-    return reduce(DataFrame.unionByName, map(measured, frames)).agg(F.sum("bytes")).first()[0] or 0
+def measured(frame: DataFrame) -> DataFrame:
+    """One row, ``bytes``: the frame's values as text plus a per-row overhead."""
+    widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in frame.columns]
+    row = reduce(lambda a, b: a + b, widths, F.lit(_ROW_OVERHEAD)).cast("long")
+    return frame.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes"))
 
 
 def are_small(frames: Sequence[DataFrame], max_bytes: int = BROADCAST_BYTES) -> bool:
-    return text_bytes(frames) <= max_bytes
+    """Whether all frames together stay below a size, measured in one job."""
+    return reduce(DataFrame.unionByName, map(measured, frames)).agg(F.sum("bytes")).first()[0] <= max_bytes

@@ -62,9 +62,12 @@ class Fixtures:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     # -- sources ------------------------------------------------------------------------------------------------
 
@@ -142,19 +145,22 @@ class Fixtures:
 
     # -- folder state -------------------------------------------------------------------------------------------
 
+    @cached_property
     def folders(self) -> DataFrame:
+        """Stored as a feed run stores its listing."""
         fys = self.parent().select("fy").distinct()
         folder = F.concat(F.lit("FY"), F.substring("fy", 1, 4), F.lit("-"), F.substring("fy", 6, 2), F.lit("/"))
         modified = F.when(F.col("fy") >= "1998/99", F.lit("2024-02-01 00:00:00")).otherwise(F.lit("2024-01-01 00:00:00"))
-        return fys.select(
+        listing = fys.select(
             F.explode(F.array(F.lit("parent"), F.lit("child"))).alias("data_source"),
             folder.alias("folder"),
             modified.cast("timestamp").alias("last_modified"),
         )
+        return stored(listing.coalesce(1), "folders")
 
     def folders_previous(self) -> DataFrame:
         return (
-            self.folders()
+            self.folders
             .where(F.col("folder") != NEWEST_FOLDER)
             .withColumn("last_modified", F.lit("2024-01-01 00:00:00").cast("timestamp"))
         )
@@ -162,7 +168,7 @@ class Fixtures:
     # -- derived steps ------------------------------------------------------------------------------------------
 
     def periods(self) -> DataFrame:
-        return changed_periods(self.folders(), self.folders_previous())
+        return changed_periods(self.folders, self.folders_previous())
 
     @cached_property
     def changed_fys(self) -> list[str]:

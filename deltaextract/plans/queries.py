@@ -175,7 +175,7 @@ def fn_substring(fx: Fixtures) -> DataFrame:
 
 @_query("fn_folder_to_fy")
 def fn_folder_to_fy(fx: Fixtures) -> DataFrame:
-    folders = fx.folders().select("folder")
+    folders = fx.folders.select("folder")
     other = folders.select(F.concat(F.lit("old-"), "folder").alias("folder"))
     folder = F.col("folder")
     return (
@@ -227,7 +227,7 @@ def periods(fx: Fixtures) -> DataFrame:
 
 @_query("changed_periods_floor")
 def changed_periods_floor(fx: Fixtures) -> DataFrame:
-    return changed_periods(fx.folders(), fx.folders_previous(), floor=2000)
+    return changed_periods(fx.folders, fx.folders_previous(), floor=2000)
 
 
 @_query("changed_folder_list")
@@ -238,13 +238,13 @@ def folder_list(fx: Fixtures) -> DataFrame:
 @_query("entity_paths")
 def entity_paths(fx: Fixtures) -> DataFrame:
     missing = (F.col("data_source") == "child") & (F.col("folder") == "FY1999-00/")
-    return entity_folders(fx.folders().where(~missing), fx.periods())
+    return entity_folders(fx.folders.where(~missing), fx.periods())
 
 
 @_query("folder_state_roundtrip")
 def folder_state_roundtrip(fx: Fixtures) -> DataFrame:
     path = scratch_path(fx.spark, "folder_state")
-    write_folder_state(fx.folders(), path)
+    write_folder_state(fx.folders, path)
     state = read_folder_state(fx.spark, path)
     return state.withColumn("last_modified", F.date_format("last_modified", "yyyy-MM-dd HH:mm:ss"))
 
