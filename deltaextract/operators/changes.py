@@ -35,7 +35,8 @@ def changed_folder_list(periods: DataFrame) -> DataFrame:
 
 def entity_folders(listing: DataFrame, periods: DataFrame) -> DataFrame:
     """Per data source, the changed folders it really has."""
-    return listing.select("data_source", "folder").join(periods.select("folder"), "folder", "left_semi").distinct()
+    existing = listing.select("data_source", "folder").distinct()
+    return existing.join(periods.select("folder"), "folder", "left_semi").select("data_source", "folder")
 
 
 def in_periods(snapshot: DataFrame, fys: Sequence[str], fy: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from functools import partial
 from typing import TypeVar
@@ -29,7 +29,7 @@ from deltaextract.plans.concurrent import side_by_side
 from deltaextract.sources.delivery import ENCODING, charset_allowed, delivered_files, write_control, write_delivery
 from deltaextract.sources.folders import FOLDER_STATE, folder_listing, read_folder_state, write_folder_state
 from deltaextract.sources.runs import completed_runs, read_snapshot, record_run
-from deltaextract.sources.tables import read_periods, write_by_period
+from deltaextract.sources.tables import period_schema, read_periods, write_by_period
 
 log = logging.getLogger(__name__)
 
@@ -87,13 +87,13 @@ def run_feed(
             return side_by_side([partial(step, item) for item in items], concurrency)
 
         run.read_lists()
-        each(run.store_cohort, feed.families)
+        each(run.store_cohort, run.families)
         each(lambda member: run.store_fingerprints(*member, split_rows), run.members)
-        each(lambda family: run.store_changed_keys(family, detect_vanished), feed.families)
+        each(lambda family: run.store_changed_keys(family, detect_vanished), run.families)
         if run.is_full(full_snapshot_every):
             each(lambda member: run.carry_over(member[1]), run.members)
         outputs = each(lambda member: run.deliver_delta(*member, encoding), run.members)
-        outputs += each(lambda family: run.deliver_live_keys(family.parent, encoding), feed.families)
+        outputs += each(lambda family: run.deliver_live_keys(family.parent, encoding), run.families)
         run.write_control_file([name for name, _ in outputs], dict(outputs), encoding)
     run.complete()
     return FeedRun(run.run_id, tuple(run.fys), dict(outputs), run.delivery)
@@ -107,13 +107,16 @@ class _Run:
         self.fy = feed.fy_column
         root = feed.output_path.rstrip("/")
         self.state, self.work, self.delivery = f"{root}/state", f"{root}/work/{run_id}", f"{root}/delivery/{run_id}"
-        self.members = [(family, entity) for family in feed.families for entity in family]
         self.earlier = completed_runs(spark, f"{self.state}/runs")
         zone = spark.conf.get("spark.sql.session.timeZone")
         if self.earlier and self.earlier[-1].time_zone != zone:
             # Timestamps enter hashes as local text: another zone would make every record look changed.
             raise ValueError(f"session time zone is {zone}, the snapshot was built under {self.earlier[-1].time_zone}")
+        if any(r.run_id == run_id for r in self.earlier):
+            raise ValueError(f"run {run_id} is complete already")
         self.fys: list[str] = []
+        self.families: list[FamilySpec] = []
+        self.members: list[tuple[FamilySpec, EntitySpec]] = []
         self._sources: dict[str, DataFrame] = {}
         self._folders: dict[str, str] = {}
         self._is_full = False
@@ -134,31 +137,42 @@ class _Run:
         # Driver-side lists of folders: a few per calendar year and entity.
         periods = changed_periods(listing, previous, self.feed.fy_floor)
         self.fys = [p.fy for p in periods.collect()]
-        folders = entity_folders(listing, periods).collect()
+        if not self.fys:
+            return False
+        changed = entity_folders(listing, periods).collect()
         existing = listing.select("data_source", "folder").collect()
-        for entity in self.feed.entities:
-            self._sources[entity.name] = self._read(entity, folders, existing)
-        return bool(self.fys)
+        known = {r.data_source for r in previous.select("data_source").distinct().collect()}
+        self.families = [
+            FamilySpec(parent, tuple(self._open(c, parent, changed, existing, known) for c in family.children))
+            for family in self.feed.families
+            for parent in [self._open(family.parent, family.parent, changed, existing, known)]
+        ]
+        self.members = [(family, entity) for family in self.families for entity in family]
+        return True
+
+    def _open(
+        self, entity: EntitySpec, parent: EntitySpec, changed: Sequence[Row], existing: Sequence[Row], known: set[str]
+    ) -> EntitySpec:
+        """Set up the scan of an entity's changed folders."""
 
-    def _read(self, entity: EntitySpec, changed: Sequence[Row], existing: Sequence[Row]) -> DataFrame:
         def paths(rows: Sequence[Row]) -> list[str]:
             return sorted(f"{entity.base_path}/{r.folder}".rstrip("/") for r in rows if r.data_source == entity.name)
 
-        if paths(changed):
-            return read_periods(self.spark, paths(changed))
         if paths(existing):
-            return read_periods(self.spark, paths(existing)[-1:]).limit(0)
-        # An entity without any folder yet has no rows in any period.
-        names = dict.fromkeys([*entity.keys, self.fy])
-        key_types = {f.name: f.dataType for f in self._parent_schema(entity)}
-        return read_periods(
-            self.spark, [], T.StructType([T.StructField(n, key_types.get(n, T.StringType())) for n in names])
+            # Without a changed folder there are no rows to read, but the columns are those of the latest folder.
+            schema = period_schema(self.spark, paths(changed) or paths(existing)[-1:])
+            self._sources[entity.name] = read_periods(self.spark, paths(changed), schema)
+            return entity
+        if entity.name in known:
+            raise ValueError(f"{entity.name}: all folders below {entity.base_path} are gone since the last run")
+        log.warning("%s: no folders yet", entity.name)
+        key_types = {f.name: f.dataType for f in self._sources[parent.name].schema} if parent is not entity else {}
+        names = dict.fromkeys(
+            [*entity.keys, self.fy, *(c.source for c in entity.columns), *(d.fact_column for d in self.feed.dimensions)]
         )
-
-    def _parent_schema(self, entity: EntitySpec) -> T.StructType:
-        family = next(f for f, member in self.members if member is entity)
-        parent = self._sources.get(family.parent.name)
-        return parent.schema if parent is not None else T.StructType([])
+        fields = [T.StructField(n, key_types.get(n, T.StringType()) if n in entity.keys else T.StringType()) for n in names]
+        self._sources[entity.name] = read_periods(self.spark, [], T.StructType(fields))
+        return replace(entity, filter=None, transform={})
 
     # -- which records ------------------------------------------------------------------------------------------
 
