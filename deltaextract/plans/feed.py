@@ -90,7 +90,7 @@ def run_feed(
         each(run.store_cohort, run.families)
         each(lambda member: run.store_fingerprints(*member, split_rows), run.members)
         each(lambda family: run.store_changed_keys(family, detect_vanished), run.families)
-        if run.is_full(full_snapshot_every):
+        if run.is_full(full_snapshot_every) and run.earlier:
             each(lambda member: run.carry_over(member[1]), run.members)
         outputs = each(lambda member: run.deliver_delta(*member, encoding), run.members)
         outputs += each(lambda family: run.deliver_live_keys(family.parent, encoding), run.families)

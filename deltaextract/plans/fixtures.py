@@ -58,7 +58,7 @@ CHILD = EntitySpec.from_mapping("child", CHILD_MAPPING)
 
 
 class Fixtures:
-    """The views of one data folder; every method returns a lazy frame."""
+    """The views of one data folder as lazy frames, each built once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
@@ -71,6 +71,7 @@ class Fixtures:
 
     # -- sources ------------------------------------------------------------------------------------------------
 
+    @cached_property
     def parent(self) -> DataFrame:
         start = F.year("o_orderdate") - F.when(F.month("o_orderdate") >= 4, 0).otherwise(1)
         return (
@@ -88,10 +89,11 @@ class Fixtures:
             )
         )
 
+    @cached_property
     def child(self) -> DataFrame:
         return (
             self.table("lineitem")
-            .join(self.parent().select("rec_id", "fy"), F.col("l_orderkey") == F.col("rec_id"))
+            .join(self.parent.select("rec_id", "fy"), F.col("l_orderkey") == F.col("rec_id"))
             .select(
                 "rec_id",
                 "fy",
@@ -104,8 +106,9 @@ class Fixtures:
             )
         )
 
+    @cached_property
     def parent_previous(self) -> DataFrame:
-        current = self.parent()
+        current = self.parent
         edited = F.when(F.col("rec_id") % 37 == 0, (F.col("total_price") + 1).cast("decimal(18,2)"))
         kept = current.where(F.col("rec_id") % 50 != 0).withColumn(
             "total_price", edited.otherwise(F.col("total_price"))
@@ -113,17 +116,20 @@ class Fixtures:
         removed = current.where(F.col("rec_id") % 41 == 0).withColumn("rec_id", F.col("rec_id") + REMOVED_OFFSET)
         return kept.unionByName(removed)
 
+    @cached_property
     def child_previous(self) -> DataFrame:
         added = (F.col("rec_id") % 29 == 0) & (F.col("line_no") == 1)
-        return self.child().where((F.col("rec_id") % 50 != 0) & ~added)
+        return self.child.where((F.col("rec_id") % 50 != 0) & ~added)
 
+    @cached_property
     def parent_multi(self) -> DataFrame:
-        rows = self.parent().select("rec_id", "fy", "status", "total_price")
+        rows = self.parent.select("rec_id", "fy", "status", "total_price")
         again = rows.where((F.col("rec_id") % 61 == 0) & (F.col("fy") != "2000/01")).withColumn("fy", F.lit("2000/01"))
         return rows.unionByName(again)
 
     # -- organisation lists -------------------------------------------------------------------------------------
 
+    @cached_property
     def providers(self) -> DataFrame:
         return (
             self.table("nation")
@@ -131,6 +137,7 @@ class Fixtures:
             .select(F.concat(F.lit("P"), F.col("n_nationkey").cast("string")).alias("org_code"), F.col("r_name").alias("region_code"))
         )
 
+    @cached_property
     def gp_practices(self) -> DataFrame:
         return self.table("customer").select(
             F.concat(F.lit("G"), F.col("c_custkey").cast("string")).alias("org_code"),
@@ -139,8 +146,8 @@ class Fixtures:
 
     def org_pairs(self) -> list[tuple[DataFrame, str]]:
         return [
-            (org_filter(self.providers(), "org_code", "region_code", PROVIDER_REGION), "provider_code"),
-            (org_filter(self.gp_practices(), "org_code", "region_code", GP_REGION), "gp_code"),
+            (org_filter(self.providers, "org_code", "region_code", PROVIDER_REGION), "provider_code"),
+            (org_filter(self.gp_practices, "org_code", "region_code", GP_REGION), "gp_code"),
         ]
 
     # -- folder state -------------------------------------------------------------------------------------------
@@ -148,7 +155,7 @@ class Fixtures:
     @cached_property
     def folders(self) -> DataFrame:
         """Stored as a feed run stores its listing."""
-        fys = self.parent().select("fy").distinct()
+        fys = self.parent.select("fy").distinct()
         folder = F.concat(F.lit("FY"), F.substring("fy", 1, 4), F.lit("-"), F.substring("fy", 6, 2), F.lit("/"))
         modified = F.when(F.col("fy") >= "1998/99", F.lit("2024-02-01 00:00:00")).otherwise(F.lit("2024-01-01 00:00:00"))
         listing = fys.select(
@@ -180,31 +187,37 @@ class Fixtures:
         return CohortLists.measure(self.org_pairs())
 
     def cohort(self) -> DataFrame:
-        return cohort_keys(self.parent(), self.org_lists, PARENT, "fy")
+        return cohort_keys(self.parent, self.org_lists, PARENT, "fy")
 
     # Stored as in a feed run: parent and child read the same key sets.
 
     @cached_property
-    def cohort_in_changed(self) -> DataFrame:
-        return stored(in_periods(self.cohort(), self.changed_fys, "fy"), "cohort")
+    def cohort_current(self) -> DataFrame:
+        return stored(self.cohort(), "cohort")
 
     @cached_property
     def cohort_previous(self) -> DataFrame:
-        return stored(cohort_keys(self.parent_previous(), self.org_lists, PARENT, "fy"), "cohort_previous")
+        return stored(cohort_keys(self.parent_previous, self.org_lists, PARENT, "fy"), "cohort_previous")
+
+    @property
+    def cohort_in_changed(self) -> DataFrame:
+        return in_periods(self.cohort_current, self.changed_fys, "fy")
 
-    def prepare_cohorts(self) -> None:
-        _ = self.changed_fys, self.org_lists
-        side_by_side([lambda: self.cohort_in_changed, lambda: self.cohort_previous])
+    def prepare(self, *, previous: bool = True) -> None:
+        """Submit the independent first jobs side by side."""
+        self.parent, self.parent_previous  # noqa: B018
+        side_by_side([lambda: self.org_lists, lambda: self.changed_fys])
+        side_by_side([lambda: self.cohort_current] + [lambda: self.cohort_previous] * previous)
 
     def current_fingerprints(self, spec: EntitySpec, **options: Any) -> DataFrame:
-        source = self.parent() if spec is PARENT else self.child()
+        source = self.parent if spec is PARENT else self.child
         return fingerprint(in_periods(source, self.changed_fys, "fy"), self.cohort_in_changed, spec, "fy", **options)
 
     def previous_fingerprints(self, spec: EntitySpec) -> DataFrame:
-        source = self.parent_previous() if spec is PARENT else self.child_previous()
+        source = self.parent_previous if spec is PARENT else self.child_previous
         return fingerprint(source, self.cohort_previous, spec, "fy")
 
     def previous_in_changed(self, spec: EntitySpec) -> DataFrame:
         """The previous snapshot of the changed FYs; only their rows are read."""
-        source = self.parent_previous() if spec is PARENT else self.child_previous()
+        source = self.parent_previous if spec is PARENT else self.child_previous
         return fingerprint(in_periods(source, self.changed_fys, "fy"), self.cohort_previous, spec, "fy")

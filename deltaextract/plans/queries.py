@@ -107,70 +107,70 @@ def config_select(fx: Fixtures) -> DataFrame:
         transform={"priority": [["left", [1]]]},
         filter="total_price > 1000",
     )
-    return _project(fx.parent(), spec)
+    return _project(fx.parent, spec)
 
 
 @_query("missing_column_default")
 def missing_column_default(fx: Fixtures) -> DataFrame:
     spec = _spec(["rec_id", ["not_supplied", "renamed"]], encrypt=["not_supplied"], transform={"not_supplied": [["left", [1]]]})
-    return _project(fx.parent(), spec)
+    return _project(fx.parent, spec)
 
 
 @_query("multi_alias")
 def multi_alias(fx: Fixtures) -> DataFrame:
-    return _project(fx.parent(), _spec(["rec_id", ["provider_code", ["treating_provider", "billing_provider"]]]))
+    return _project(fx.parent, _spec(["rec_id", ["provider_code", ["treating_provider", "billing_provider"]]]))
 
 
 @_query("transform_chain")
 def transform_chain(fx: Fixtures) -> DataFrame:
     steps = [["substring", [3, 20]], ["concat", ["status", "provider_code"]], ["left", [4]]]
-    return _project(fx.parent(), _spec(["rec_id", "priority"], transform={"priority": steps}))
+    return _project(fx.parent, _spec(["rec_id", "priority"], transform={"priority": steps}))
 
 
 @_query("pseudonymise")
 def pseudonymise(fx: Fixtures) -> DataFrame:
-    return _project(fx.child(), _spec(["rec_id", "line_no", "part_id", "return_flag"], encrypt=["part_id", "return_flag"]))
+    return _project(fx.child, _spec(["rec_id", "line_no", "part_id", "return_flag"], encrypt=["part_id", "return_flag"]))
 
 
 @_query("config_filter")
 def config_filter(fx: Fixtures) -> DataFrame:
     spec = _spec(["rec_id", "line_no"], encrypt=["rec_id"], filter="quantity > 30 AND e.rec_id > 10")
-    return _project(fx.child(), spec)
+    return _project(fx.child, spec)
 
 
 @_query("fn_to_date")
 def fn_to_date(fx: Fixtures) -> DataFrame:
     text = F.when(F.col("rec_id") % 10 == 0, F.lit("n/a")).otherwise(F.col("order_date").cast("string"))
     spec = _spec(["rec_id", "ordered"], transform={"ordered": [["to_date", ["yyyy-MM-dd"]]]})
-    return _project(fx.parent().withColumn("ordered", text), spec)
+    return _project(fx.parent.withColumn("ordered", text), spec)
 
 
 @_query("fn_expr")
 def fn_expr(fx: Fixtures) -> DataFrame:
     steps = [["left", [1]], ["expr", ["concat(priority, '/', e.status)"]]]
-    return _project(fx.parent(), _spec(["rec_id", "priority"], transform={"priority": steps}))
+    return _project(fx.parent, _spec(["rec_id", "priority"], transform={"priority": steps}))
 
 
 @_query("fn_concat")
 def fn_concat(fx: Fixtures) -> DataFrame:
     spec = _spec(["rec_id", "line_no", "quantity"], transform={"quantity": [["concat", ["price", "return_flag"]]]})
-    return _project(fx.child(), spec)
+    return _project(fx.child, spec)
 
 
 @_query("fn_instr")
 def fn_instr(fx: Fixtures) -> DataFrame:
-    return _project(fx.parent(), _spec(["rec_id", "priority"], transform={"priority": [["instr", ["E"]]]}))
+    return _project(fx.parent, _spec(["rec_id", "priority"], transform={"priority": [["instr", ["E"]]]}))
 
 
 @_query("fn_left")
 def fn_left(fx: Fixtures) -> DataFrame:
-    return _project(fx.parent(), _spec(["rec_id", "priority"], transform={"priority": [["left", [3]]]}))
+    return _project(fx.parent, _spec(["rec_id", "priority"], transform={"priority": [["left", [3]]]}))
 
 
 @_query("fn_substring")
 def fn_substring(fx: Fixtures) -> DataFrame:
     transform = {"priority": [["substring", [3, 4]]], "provider_code": [["substring", [0, 2]]]}
-    return _project(fx.parent(), _spec(["rec_id", "priority", "provider_code"], transform=transform))
+    return _project(fx.parent, _spec(["rec_id", "priority", "provider_code"], transform=transform))
 
 
 @_query("fn_folder_to_fy")
@@ -187,7 +187,7 @@ def fn_folder_to_fy(fx: Fixtures) -> DataFrame:
 
 @_query("row_hash")
 def row_digests(fx: Fixtures) -> DataFrame:
-    rows = fx.child()
+    rows = fx.child
     columns = hash_columns(CHILD, rows.columns)
     return rows.alias(ROW_ALIAS).select(
         "rec_id", "line_no", row_hash(columns).alias("hash"), row_hash(columns, "framed").alias("framed_hash")
@@ -199,7 +199,7 @@ def row_digests(fx: Fixtures) -> DataFrame:
 
 @_query("org_filter")
 def org_lists(fx: Fixtures) -> DataFrame:
-    providers, practices = fx.providers(), fx.gp_practices()
+    providers, practices = fx.providers, fx.gp_practices
     found = [
         org_filter(providers.unionByName(providers), "org_code", "region_code", PROVIDER_REGION),
         org_filter(practices.unionByName(practices), "org_code", "region_code", GP_REGION),
@@ -214,7 +214,7 @@ def cohort(fx: Fixtures) -> DataFrame:
 
 @_query("cohort_keys_large_lists")
 def cohort_large_lists(fx: Fixtures) -> DataFrame:
-    return cohort_keys(fx.parent(), CohortLists.measure(fx.org_pairs(), broadcast_bytes=0), PARENT, "fy")
+    return cohort_keys(fx.parent, CohortLists.measure(fx.org_pairs(), broadcast_bytes=0), PARENT, "fy")
 
 
 # -- periods and folder state ---------------------------------------------------------------------------------------
@@ -259,9 +259,9 @@ def _write_folders(frame: DataFrame, base: str, fys: list[str]) -> None:
 @_query("folder_mod_times")
 def folder_mod_times(fx: Fixtures) -> DataFrame:
     base = scratch_path(fx.spark, "sources")
-    fys = [r.fy for r in fx.parent().select("fy").distinct().collect()]
-    _write_folders(fx.parent(), f"{base}/parent", fys)
-    _write_folders(fx.child(), f"{base}/child", fys)
+    fys = [r.fy for r in fx.parent.select("fy").distinct().collect()]
+    _write_folders(fx.parent, f"{base}/parent", fys)
+    _write_folders(fx.child, f"{base}/child", fys)
     listing = folder_listing(fx.spark, {"parent": f"{base}/parent", "child": f"{base}/child", "none": f"{base}/none"})
     age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("last_modified")
     return listing.select("data_source", "folder", age.between(0, 3600).alias("recent"))
@@ -272,12 +272,12 @@ def folder_mod_times(fx: Fixtures) -> DataFrame:
 
 @_query("fingerprint_parent")
 def fingerprint_parent(fx: Fixtures) -> DataFrame:
-    return fx.current_fingerprints(PARENT)
+    return _fingerprints(fx, partial(fx.current_fingerprints, PARENT))[0]
 
 
 @_query("fingerprint_child")
 def fingerprint_child(fx: Fixtures) -> DataFrame:
-    return fx.current_fingerprints(CHILD)
+    return _fingerprints(fx, partial(fx.current_fingerprints, CHILD))[0]
 
 
 @_query("fingerprint_split")
@@ -290,43 +290,44 @@ MULTI = _spec(["rec_id", "status", "total_price"])
 
 @_query("key_join_semi")
 def key_join_semi(fx: Fixtures) -> DataFrame:
-    rows = fx.parent_multi()
+    rows = fx.parent_multi
     return fingerprint(rows, rows.select("rec_id", "fy").distinct(), MULTI, "fy")
 
 
 @_query("key_join_inner")
 def key_join_inner(fx: Fixtures) -> DataFrame:
-    rows = fx.parent_multi()
+    rows = fx.parent_multi
     return fingerprint(rows, rows.select("rec_id", "fy").distinct(), MULTI, "fy", fan_out=True)
 
 
 # -- changed keys ---------------------------------------------------------------------------------------------------
 
 
-def _pair(fx: Fixtures, spec: EntitySpec) -> tuple[DataFrame, DataFrame]:
-    return fx.current_fingerprints(spec), fx.previous_in_changed(spec)
+def _fingerprints(fx: Fixtures, *builds: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Fingerprints whose group-size checks are independent jobs and run side by side."""
+    fx.prepare(previous=len(builds) > 1)
+    return side_by_side(builds)
 
 
-def _pairs(fx: Fixtures) -> list[tuple[DataFrame, DataFrame]]:
-    """Parent and child; their group-size checks are independent jobs and run side by side."""
-    fx.prepare_cohorts()
-    builds = [b for spec in (PARENT, CHILD) for b in (partial(fx.current_fingerprints, spec), partial(fx.previous_in_changed, spec))]
-    frames = side_by_side(builds)
-    return [(frames[0], frames[1]), (frames[2], frames[3])]
+def _pairs(fx: Fixtures, *specs: EntitySpec) -> list[tuple[DataFrame, DataFrame]]:
+    """(current, previous in scope) per entity."""
+    builds = [b for s in specs for b in (partial(fx.current_fingerprints, s), partial(fx.previous_in_changed, s))]
+    frames = _fingerprints(fx, *builds)
+    return list(zip(frames[::2], frames[1::2], strict=True))
 
 
 def _changed(fx: Fixtures) -> DataFrame:
-    return changed_keys(_pairs(fx), PARENT.keys)
+    return changed_keys(_pairs(fx, PARENT, CHILD), PARENT.keys)
 
 
 @_query("changed_parent")
 def changed_parent(fx: Fixtures) -> DataFrame:
-    return changed_entity_keys(*_pair(fx, PARENT), PARENT.keys)
+    return changed_entity_keys(*_pairs(fx, PARENT)[0], PARENT.keys)
 
 
 @_query("changed_child")
 def changed_child(fx: Fixtures) -> DataFrame:
-    return changed_entity_keys(*_pair(fx, CHILD), CHILD.keys)
+    return changed_entity_keys(*_pairs(fx, CHILD)[0], CHILD.keys)
 
 
 @_query("changed_keys")
@@ -336,9 +337,10 @@ def changed_family(fx: Fixtures) -> DataFrame:
 
 @_query("changed_keys_vanished")
 def changed_family_vanished(fx: Fixtures) -> DataFrame:
-    rows = in_periods(fx.child().where(F.col("rec_id") % 31 != 0), fx.changed_fys, "fy")
+    (parent,) = _pairs(fx, PARENT)
+    rows = in_periods(fx.child.where(F.col("rec_id") % 31 != 0), fx.changed_fys, "fy")
     child = fingerprint(rows, fx.cohort_in_changed, CHILD, "fy")
-    pairs = [_pair(fx, PARENT), (child, fx.previous_in_changed(CHILD))]
+    pairs = [parent, (child, fx.previous_in_changed(CHILD))]
     return changed_keys(pairs, PARENT.keys, detect_vanished=True)
 
 
@@ -347,24 +349,26 @@ def changed_family_vanished(fx: Fixtures) -> DataFrame:
 
 @_query("delta_parent")
 def delta_parent(fx: Fixtures) -> DataFrame:
-    return extract_delta(in_periods(fx.parent(), fx.changed_fys, "fy"), _changed(fx), PARENT, SALT)
+    changed = _changed(fx)
+    return extract_delta(in_periods(fx.parent, fx.changed_fys, "fy"), changed, PARENT, SALT)
 
 
 @_query("delta_child")
 def delta_child(fx: Fixtures) -> DataFrame:
-    return extract_delta(in_periods(fx.child(), fx.changed_fys, "fy"), _changed(fx), CHILD, SALT)
+    changed = _changed(fx)
+    return extract_delta(in_periods(fx.child, fx.changed_fys, "fy"), changed, CHILD, SALT)
 
 
 @_query("csv_roundtrip")
 def csv_roundtrip(fx: Fixtures) -> DataFrame:
     path = scratch_path(fx.spark, "delivery")
-    write_delivery(project(fx.child(), CHILD, SALT), path, target_rows=25_000)
+    write_delivery(project(fx.child, CHILD, SALT), path, target_rows=25_000)
     return fx.spark.read.csv(path, header=True, sep="|")
 
 
 @_query("record_counts")
 def counts(fx: Fixtures) -> DataFrame:
-    return record_counts({"parent": fx.parent(), "child": fx.child(), "conversations": fx.table("conversations")})
+    return record_counts({"parent": fx.parent, "child": fx.child, "conversations": fx.table("conversations")})
 
 
 @_query("part_counts")
@@ -410,7 +414,8 @@ def carried(fx: Fixtures) -> DataFrame:
 
 
 def _merged(fx: Fixtures, spec: EntitySpec) -> DataFrame:
-    return merge_snapshot(fx.current_fingerprints(spec), fx.previous_fingerprints(spec), fx.changed_fys, "fy")
+    builds = partial(fx.current_fingerprints, spec), partial(fx.previous_fingerprints, spec)
+    return merge_snapshot(*_fingerprints(fx, *builds), fx.changed_fys, "fy")
 
 
 @_query("merge_snapshot")
@@ -439,8 +444,8 @@ def fixture_feed(base: str, dimensions: tuple[Dimension, ...], **settings: Any)
 
 
 def fixture_dimensions(fx: Fixtures, base: str) -> tuple[Dimension, ...]:
-    fx.providers().write.mode("overwrite").parquet(f"{base}/providers")
-    fx.gp_practices().write.mode("overwrite").parquet(f"{base}/practices")
+    fx.providers.write.mode("overwrite").parquet(f"{base}/providers")
+    fx.gp_practices.write.mode("overwrite").parquet(f"{base}/practices")
     return (
         Dimension("org_code", "region_code", PROVIDER_REGION, "provider_code", f"{base}/providers"),
         Dimension("org_code", "region_code", GP_REGION, "gp_code", f"{base}/practices"),
@@ -453,10 +458,10 @@ def feed_second_run(fx: Fixtures) -> DataFrame:
     base = scratch_path(fx.spark, "feed")
     feed = fixture_feed(base, fixture_dimensions(fx, base))
     sources = {
-        "parent": (fx.parent_previous(), fx.parent()),
-        "child": (fx.child_previous(), fx.child()),
+        "parent": (fx.parent_previous, fx.parent),
+        "child": (fx.child_previous, fx.child),
     }
-    fys = [r.fy for r in fx.parent_previous().select("fy").distinct().collect()]
+    fys = [r.fy for r in fx.parent_previous.select("fy").distinct().collect()]
     for name, (previous, _) in sources.items():
         _write_folders(previous, f"{base}/{name}", fys)
     run_feed(fx.spark, feed, SALT)
