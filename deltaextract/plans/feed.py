@@ -92,8 +92,9 @@ def run_feed(
         each(lambda family: run.store_changed_keys(family, detect_vanished), run.families)
         if run.is_full(full_snapshot_every) and run.earlier:
             each(lambda member: run.carry_over(member[1]), run.members)
-        outputs = each(lambda member: run.deliver_delta(*member, encoding), run.members)
-        outputs += each(lambda family: run.deliver_live_keys(family.parent, encoding), run.families)
+        deliveries = [partial(run.deliver_delta, *member, encoding) for member in run.members]
+        deliveries += [partial(run.deliver_live_keys, family.parent, encoding) for family in run.families]
+        outputs = side_by_side(deliveries, concurrency)
         run.write_control_file([name for name, _ in outputs], dict(outputs), encoding)
     run.complete()
     return FeedRun(run.run_id, tuple(run.fys), dict(outputs), run.delivery)

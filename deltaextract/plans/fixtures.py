@@ -205,9 +205,13 @@ class Fixtures:
 
     def prepare(self, *, previous: bool = True) -> None:
         """Submit the independent first jobs side by side."""
-        self.parent, self.parent_previous  # noqa: B018
-        side_by_side([lambda: self.org_lists, lambda: self.changed_fys])
-        side_by_side([lambda: self.cohort_current] + [lambda: self.cohort_previous] * previous)
+
+        def cohorts() -> None:
+            _ = self.org_lists
+            side_by_side([lambda: self.cohort_current] + [lambda: self.cohort_previous] * previous)
+
+        _ = self.parent_previous
+        side_by_side([cohorts, lambda: self.changed_fys])
 
     def current_fingerprints(self, spec: EntitySpec, **options: Any) -> DataFrame:
         source = self.parent if spec is PARENT else self.child
