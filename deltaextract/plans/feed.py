@@ -64,6 +64,7 @@ def run_feed(
     run_id: str | None = None,
     *,
     split_rows: int = SPLIT_ROWS,
+    hash_encoding: str = "joined",
     detect_vanished: bool = False,
     encoding: str = ENCODING,
     full_snapshot_every: int = 30,
@@ -76,7 +77,8 @@ def run_feed(
     Nothing in ``state`` counts until the run's last step. Entities of a step are independent, so up to ``concurrency``
     of their jobs are submitted side by side.
     """
-    run = _Run(spark, feed, salt, run_id or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f"))
+    run_id = run_id or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    run = _Run(spark, feed, salt, run_id, split_rows, hash_encoding)
     if not run.find_changes():
         log.info("%s: no changed periods", feed.name)
         return FeedRun(run.run_id, ())
@@ -88,7 +90,7 @@ def run_feed(
 
         run.read_lists()
         each(run.store_cohort, run.families)
-        each(lambda member: run.store_fingerprints(*member, split_rows), run.members)
+        each(lambda member: run.store_fingerprints(*member), run.members)
         each(lambda family: run.store_changed_keys(family, detect_vanished), run.families)
         if run.is_full(full_snapshot_every) and run.earlier:
             each(lambda member: run.carry_over(member[1]), run.members)
@@ -103,16 +105,23 @@ def run_feed(
 class _Run:
     """Paths and step functions of one run; every step reads and writes tables."""
 
-    def __init__(self, spark: SparkSession, feed: FeedSpec, salt: str | None, run_id: str):
+    def __init__(
+        self, spark: SparkSession, feed: FeedSpec, salt: str | None, run_id: str, split_rows: int, hash_encoding: str
+    ):
         self.spark, self.feed, self.salt, self.run_id = spark, feed, salt, run_id
         self.fy = feed.fy_column
         root = feed.output_path.rstrip("/")
         self.state, self.work, self.delivery = f"{root}/state", f"{root}/work/{run_id}", f"{root}/delivery/{run_id}"
         self.earlier = completed_runs(spark, f"{self.state}/runs")
-        zone = spark.conf.get("spark.sql.session.timeZone")
-        if self.earlier and self.earlier[-1].time_zone != zone:
-            # Timestamps enter hashes as local text: another zone would make every record look changed.
-            raise ValueError(f"session time zone is {zone}, the snapshot was built under {self.earlier[-1].time_zone}")
+        # Hashes built under other settings would make records look changed; timestamps enter them as local text.
+        self.hashing = {
+            "time_zone": spark.conf.get("spark.sql.session.timeZone"),
+            "hash_encoding": hash_encoding,
+            "split_rows": split_rows,
+        }
+        for setting, value in self.hashing.items():
+            if self.earlier and self.earlier[-1][setting] != value:
+                raise ValueError(f"{setting} is {value}, the snapshot was built with {self.earlier[-1][setting]}")
         if any(r.run_id == run_id for r in self.earlier):
             raise ValueError(f"run {run_id} is complete already")
         self.fys: list[str] = []
@@ -190,9 +199,16 @@ class _Run:
         keys = cohort_keys(self._sources[family.parent.name], self.lists, family.parent, self.fy)
         keys.write.mode("overwrite").parquet(self._cohort(family))
 
-    def store_fingerprints(self, family: FamilySpec, entity: EntitySpec, split_rows: int) -> None:
+    def store_fingerprints(self, family: FamilySpec, entity: EntitySpec) -> None:
         cohort = self.spark.read.parquet(self._cohort(family))
-        current = fingerprint(self._sources[entity.name], cohort, entity, self.fy, split_rows=split_rows)
+        current = fingerprint(
+            self._sources[entity.name],
+            cohort,
+            entity,
+            self.fy,
+            split_rows=self.hashing["split_rows"],
+            encoding=self.hashing["hash_encoding"],
+        )
         write_by_period(current, self._fingerprints(entity), self.fy)
 
     def store_changed_keys(self, family: FamilySpec, detect_vanished: bool) -> None:
@@ -252,8 +268,7 @@ class _Run:
 
     def _record(self) -> Row:
         seq = self.earlier[-1].seq + 1 if self.earlier else 1
-        zone = self.spark.conf.get("spark.sql.session.timeZone")
-        return Row(seq=seq, run_id=self.run_id, fys=self.fys, full=self._is_full, time_zone=zone)
+        return Row(seq=seq, run_id=self.run_id, fys=self.fys, full=self._is_full, **self.hashing)
 
     def _schema(self, entity: EntitySpec) -> T.StructType:
         source = self._sources[entity.name].schema

@@ -23,7 +23,10 @@ RUN_SCHEMA = T.StructType(
         T.StructField("run_id", T.StringType()),
         T.StructField("fys", T.ArrayType(T.StringType())),
         T.StructField("full", T.BooleanType()),
+        # What stored hashes depend on.
         T.StructField("time_zone", T.StringType()),
+        T.StructField("hash_encoding", T.StringType()),
+        T.StructField("split_rows", T.LongType()),
     ]
 )
 

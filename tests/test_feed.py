@@ -180,15 +180,19 @@ def test_childless_parent_and_entity_without_folders(world):
     assert world.lines(run, "openDeletes_now") == ["7"]
 
 
-def test_period_floor_and_time_zone_guard(spark, world):
+def test_period_floor_and_hash_setting_guards(spark, world):
     object.__setattr__(world.feed, "fy_floor", 2013)
     assert world.run().periods == ("2013/14",)
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     try:
-        with pytest.raises(ValueError, match="time zone"):
+        with pytest.raises(ValueError, match="time_zone"):
             world.run()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    with pytest.raises(ValueError, match="split_rows"):
+        world.run(split_rows=7)
+    with pytest.raises(ValueError, match="hash_encoding"):
+        world.run(hash_encoding="framed")
 
 
 def test_receiver_stays_in_step(world):
