@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deltaextract.llm import bpe, decontaminate, language, reshard, toxicity
+from deltaextract.llm import bpe, decontaminate, language, linededup, reshard, toxicity
 from deltaextract.llm.common import fold_of, table
 
 OLD_SHARDS, SHARDS = 32, 40
@@ -58,6 +58,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
@@ -65,4 +69,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_toxicity": op4_toxicity,
         "op5_decontamination": op5_decontamination,
         "op6_sharding": op6_sharding,
+        "op8_line_dedup": op8_line_dedup,
     }

@@ -6,7 +6,7 @@ toxic documents have far more often than others do; its weights are log odds. Wh
 harmless documents together with one certain neighbour, the two words become an exception phrase, and the entry does not count inside it.
 
 The weights that a text gathers are divided by a slowly growing function of its length, and a logistic curve turns that
-into a score. Counts are taken over all labelled rows; the curve is fitted on at most ``CURVE_ROWS`` of them.
+into a score. Everything is fitted on about ``FIT_ROWS`` labelled rows at most, chosen by a hash of their id; scoring covers all rows.
 """
 
 from __future__ import annotations
@@ -24,11 +24,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deltaextract.llm.common import checkpointed
+
 #: Letters of a beginning of a word; entries of the lexicon; documents that an entry needs; least log odds of an entry.
 STEMS = range(4, 9)
 ENTRIES, LEAST_DOCS, LEAST_WEIGHT = 5_000, 5, 3.0
-#: Labelled rows for the curve and for the exceptions (the bound of the sample they are fitted on).
-CURVE_ROWS = 20_000
+#: Share of the toxic documents that an entry needs too: copies of one document do not make its words toxic.
+LEAST_SHARE = 0.01
+#: Labelled rows that the fit reads (the bound of its sample), and beginnings and words of toxic ones that are looked up in the others.
+FIT_ROWS, CANDIDATES = 20_000, 50_000
 #: An exception: so many harmless documents have the phrase, and toxic ones are no more than this share.
 EXCEPTION_DOCS, EXCEPTION_SHARE = 5, 0.2
 SCORES = "score double, predicted int, matches int"
@@ -99,16 +103,25 @@ class Matcher:
         return sum(w for _, _, w in found) / (1 + math.log1p(len(words))), len(found)
 
 
-def _features(texts: pd.Series, toxic: pd.Series) -> pd.DataFrame:
-    counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    for text, label in zip(texts, toxic, strict=True):
-        words = {*fold(text)}
-        entries = {f" {w} " for w in words}
-        for n in STEMS:
-            entries.update([f" {w[:n]}" for w in words if len(w) >= n])
-        counts[label].update(entries)
-    names = list(counts[0] | counts[1])
-    return pd.DataFrame({"entry": names, "toxic_docs": [counts[1][x] for x in names], "other_docs": [counts[0][x] for x in names]})
+def _entries(text: str | None) -> set[str]:
+    words = {*fold(text)}
+    found = {f" {w} " for w in words}
+    for n in STEMS:
+        found.update([f" {w[:n]}" for w in words if len(w) >= n])
+    return found
+
+
+def _document_counts(rows: DataFrame, among: frozenset[str] | None = None) -> DataFrame:
+    """Number of rows (docs) with each entry; each Arrow batch sends an entry once."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            counts: Counter = Counter()
+            for text in b["text"]:
+                counts.update(_entries(text) if among is None else _entries(text) & among)
+            yield pd.DataFrame({"entry": list(counts), "docs": list(counts.values())})
+
+    return rows.select("text").mapInPandas(count, "entry string, docs long").groupBy("entry").agg(F.sum("docs").alias("docs"))
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -116,40 +129,38 @@ def _labelled(docs: DataFrame, labels: DataFrame, text: str, doc_id: str) -> Dat
     return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).join(known, "doc_id").select("doc_id", "text", "toxic")
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str = "doc_id", entries: int = ENTRIES, curve_rows: int = CURVE_ROWS) -> Lexicon:
-    """A lexicon from the rows of ``docs`` that ``labels`` (doc_id, toxic) marks 0 or 1. Repeated labels of a document count once, as toxic if any is."""
+def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str = "doc_id", entries: int = ENTRIES, fit_rows: int = FIT_ROWS) -> Lexicon:
+    """A lexicon from rows of ``docs`` that ``labels`` (doc_id, toxic) marks 0 or 1. Repeated labels of a document count once, as toxic if any is.
+
+    Without labels of both kinds, the lexicon is empty and every text gets the score that fits the one kind (0.5 without any).
+    """
     rows = _labelled(docs, labels, text, doc_id)
-    # Most features are rare beginnings and words; each Arrow batch sends a feature once, with its counts.
-    counted = rows.select("text", "toxic").mapInPandas(
-        lambda batches: (_features(b["text"], b["toxic"]) for b in batches), "entry string, toxic_docs long, other_docs long"
-    )
-    totals = rows.agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o")).first()
-    n_toxic, n_other = totals["t"] or 0, totals["o"] or 0
-    if not n_toxic or not n_other:
-        return Lexicon({}, frozenset(), (0.0, -30.0 if not n_toxic else 30.0))
-    weight = F.log((F.col("toxic_docs") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("other_docs") + 0.5) / (n_other + 1.0))
-    best = (
-        counted.groupBy("entry")
-        .agg(F.sum("toxic_docs").alias("toxic_docs"), F.sum("other_docs").alias("other_docs"))
-        .where(F.col("toxic_docs") >= LEAST_DOCS)
-        .withColumn("weight", weight)
-        .where(F.col("weight") >= LEAST_WEIGHT)
-        .orderBy(F.desc(F.col("weight") * F.col("toxic_docs")), "entry")
-        .limit(entries)
-        .collect()
-    )
-    weights = _without_longer({r["entry"]: r["weight"] for r in best})
-    share = min(1.0, curve_rows / (n_toxic + n_other))
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000).select("text", "toxic")
-    exceptions = _exceptions(sample, weights)
-    matcher_of = (weights, exceptions)
+    totals = rows.agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).first()
+    n_toxic, n_all = totals["t"] or 0, totals["n"]
+    if not n_toxic or n_toxic == n_all:
+        return Lexicon({}, frozenset(), (0.0, 0.0 if not n_all else 30.0 if n_toxic else -30.0))
+    share = min(1.0, fit_rows / n_all)
+    rows = checkpointed(rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000))
+    toxic, others = rows.where("toxic = 1"), rows.where("toxic = 0")
+    counted = _document_counts(toxic).where(F.col("docs") >= max(LEAST_DOCS, LEAST_SHARE * toxic.count())).orderBy(F.desc("docs"), "entry").limit(CANDIDATES).collect()
+    in_toxic = {r["entry"]: r["docs"] for r in counted}
+    in_others = {r["entry"]: r["docs"] for r in _document_counts(others, frozenset(in_toxic)).collect()}
+    by_kind = dict(rows.groupBy("toxic").count().collect())
+
+    def weight(entry: str) -> float:
+        return math.log((in_toxic[entry] + 0.5) / (by_kind.get(1, 0) + 1)) - math.log((in_others.get(entry, 0) + 0.5) / (by_kind.get(0, 0) + 1))
+
+    weights = {e: weight(e) for e in in_toxic}
+    best = sorted([e for e in weights if weights[e] >= LEAST_WEIGHT], key=lambda e: (-weights[e] * in_toxic[e], e))[:entries]
+    weights = _without_longer({e: weights[e] for e in best})
+    exceptions = _exceptions(rows, weights)
 
     def densities(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matcher = Matcher(*matcher_of)
+        matcher = Matcher(weights, exceptions)
         for b in batches:
             yield pd.DataFrame({"x": [matcher.density(fold(t))[0] for t in b["text"]], "toxic": b["toxic"]})
 
-    points = sample.mapInPandas(densities, "x double, toxic int").collect()
+    points = rows.select("text", "toxic").mapInPandas(densities, "x double, toxic int").collect()
     return Lexicon(weights, exceptions, _curve(np.array([p["x"] for p in points]), np.array([p["toxic"] for p in points], float)))
 
 
@@ -163,7 +174,7 @@ def _without_longer(weights: dict[str, float]) -> dict[str, float]:
     return kept
 
 
-def _exceptions(sample: DataFrame, weights: dict[str, float]) -> frozenset[str]:
+def _exceptions(rows: DataFrame, weights: dict[str, float]) -> frozenset[str]:
     def phrases(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         matcher = Matcher(weights, frozenset())
         for b in batches:
@@ -176,7 +187,7 @@ def _exceptions(sample: DataFrame, weights: dict[str, float]) -> frozenset[str]:
             yield pd.DataFrame({"phrase": names, "t": [counts[1][x] for x in names], "o": [counts[0][x] for x in names]})
 
     found = (
-        sample.mapInPandas(phrases, "phrase string, t long, o long")
+        rows.select("text", "toxic").mapInPandas(phrases, "phrase string, t long, o long")
         .groupBy("phrase")
         .agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
         .where((F.col("o") >= EXCEPTION_DOCS) & (F.col("t") <= EXCEPTION_SHARE * (F.col("o") + F.col("t"))))
