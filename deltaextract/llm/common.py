@@ -42,3 +42,16 @@ def slices(texts: pd.Series, chars: int = SLICE_CHARS) -> Iterator[list[str | No
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
+
+
+# Everything but 0-9, a-z and what is not ASCII separates words, after lower-casing A-Z.
+_SEPARATORS = bytes(b for b in range(128) if not (0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A))
+_TABLE = bytes.maketrans(_SEPARATORS, b" " * len(_SEPARATORS))
+
+
+def plain(text: str | None) -> bytes:
+    """UTF-8 of ``text`` with A-Z lower-cased and a blank for each separator; a null text is empty.
+
+    Bytes of characters beyond ASCII stay as they are, and none of them is white space to ``bytes.split``.
+    """
+    return (text or "").encode("utf-8", "replace").lower().translate(_TABLE)

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from deltaextract.llm.common import plain
+
 WINDOW = 13
 #: Words of benchmark text in one automaton: about 100 bytes each in every Python worker.
 BLOCK_WORDS = 1_000_000
@@ -27,24 +29,16 @@ BLOCK_WORDS = 1_000_000
 SHARE = 20
 HITS = "n_words long, spans array<struct<first:int,last:int>>, items array<string>"
 
-# Everything but 0-9, a-z and what is not ASCII separates words, after lower-casing A-Z.
-_SEPARATORS = bytes(b for b in range(128) if not (0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A))
-_TABLE = bytes.maketrans(_SEPARATORS, b" " * len(_SEPARATORS))
 _PLACES = re.compile(rb"[^ ]+")
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return _normal(text).split()
-
-
-def _normal(text: str | None) -> bytes:
-    # Only A-Z are lower-cased; bytes of other characters stay as they are, and none of them is white space to split().
-    return (text or "").encode("utf-8", "replace").lower().translate(_TABLE)
+    return plain(text).split()
 
 
 def word_places(text: str) -> list[tuple[int, int]]:
     """First and last byte (exclusive) of each word in the UTF-8 of ``text``."""
-    return [m.span() for m in _PLACES.finditer(_normal(text))]
+    return [m.span() for m in _PLACES.finditer(plain(text))]
 
 
 class Automaton:
