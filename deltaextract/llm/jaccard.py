@@ -33,7 +33,7 @@ LOOSE = THRESHOLD - 4 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / TOKENS)
 BLOCK_SHINGLES, BLOCK_TEXTS, TASK_SHINGLES = 1_500_000, 1_000, 3_000_000
 TASK_SKETCHES = 20_000
 
-_ODD = np.random.default_rng(20_240_501).integers(0, 2**63, (2, TOKENS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD = np.random.default_rng(20_240_501).integers(2**29, 2**31, TOKENS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _STEPS = np.random.default_rng(7).integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -69,11 +69,20 @@ class _Shingler:
 
 def sketches(sets: list[np.ndarray]) -> np.ndarray:
     """One row of ``TOKENS`` values (unsigned 32-bit) per set, none of which is empty."""
-    joined = np.concatenate(sets)
-    starts = np.cumsum([0, *map(len, sets[:-1])])
     out = np.empty((len(sets), TOKENS), np.uint32)
-    for t in range(TOKENS):
-        out[:, t] = np.minimum.reduceat((joined * _ODD[0, t] + _ODD[1, t]) >> np.uint64(32), starts)
+    first = 0
+    while first < len(sets):  # some sets at a time, so that they stay in the processor's cache
+        last, held = first, 0
+        while last < len(sets) and (last == first or held + len(sets[last]) <= 30_000):
+            held += len(sets[last])
+            last += 1
+        values = (np.concatenate(sets[first:last]) >> np.uint64(32)).astype(np.uint32)
+        starts = np.cumsum([0, *map(len, sets[first : last - 1])])
+        mixed = np.empty_like(values)
+        for t in range(TOKENS):
+            np.multiply(values, _ODD[t], out=mixed)
+            out[first:last, t] = np.minimum.reduceat(mixed, starts)
+        first = last
     return out
 
 
@@ -169,12 +178,10 @@ class _Forest:
 
 
 def _agree(sketch: np.ndarray, loose: float) -> np.ndarray:
-    n = len(sketch)
-    out = np.empty((n, n), bool)
-    step = max(1, 8_000_000 // (n * TOKENS))
-    for a in range(0, n, step):
-        out[a : a + step] = (sketch[a : a + step, None, :] == sketch[None]).sum(axis=2) >= loose * TOKENS
-    return out
+    same = np.zeros((len(sketch), len(sketch)), np.uint8)
+    for values in sketch.T:
+        same += values[:, None] == values[None]
+    return same >= loose * TOKENS
 
 
 def _loose_links(leaves: DataFrame, sketched: DataFrame, loose: float) -> DataFrame:

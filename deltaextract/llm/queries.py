@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deltaextract.llm import bpe, decontaminate, jaccard, language, linededup, reshard, toxicity
+from deltaextract.llm import bpe, decontaminate, jaccard, language, linededup, lm, reshard, toxicity
 from deltaextract.llm.common import fold_of, table
 
 OLD_SHARDS, SHARDS = 32, 40
@@ -66,6 +66,10 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
@@ -75,4 +79,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_sharding": op6_sharding,
         "op8_line_dedup": op8_line_dedup,
         "op9_jaccard_join": op9_jaccard_join,
+        "op10_lm_scoring": op10_lm_scoring,
     }
