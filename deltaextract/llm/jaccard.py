@@ -300,3 +300,12 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **se
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("n_copies", F.lit(0)).alias("n_copies"),
     )
+
+
+def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **settings: float) -> DataFrame:
+    """One row of each class of ``docs``, that with the least id (of rows alike in id, any one); the columns of ``docs``. Rows without a text all stay."""
+    found = classes(docs, doc_id=doc_id, text=text, **settings).where("class_id is not null or doc_id is null").select(F.col("doc_id").alias("_doc"), F.col("class_id").alias("_class")).distinct()
+    with_text = docs.where(F.col(f"`{text}`").isNotNull())
+    named = with_text.join(found, F.col(f"`{doc_id}`").eqNullSafe(F.col("_doc"))).where(F.col("_doc").eqNullSafe(F.col("_class")))
+    one = named.dropDuplicates(["_class"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return one.union(docs.where(F.col(f"`{text}`").isNull()))

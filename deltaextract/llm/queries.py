@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deltaextract.llm import bpe, decontaminate, jaccard, language, linededup, lm, reshard, toxicity
+from deltaextract.llm import ann, bpe, decontaminate, jaccard, language, license, linededup, lm, reshard, toxicity
 from deltaextract.llm.common import fold_of, table
 
 OLD_SHARDS, SHARDS = 32, 40
@@ -22,6 +22,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license.scan(docs, license.fit(docs)).select("doc_id", "n_paragraphs", "families", "licenses")
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.where(fold_of(F.col("doc_id"), 4) != 2))
@@ -58,6 +63,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(ann.index(vectors), vectors.where(F.col("vec_id") % 50 == 0))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -73,10 +83,12 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
+        "op2_licenses": op2_licenses,
         "op3_language": op3_language,
         "op4_toxicity": op4_toxicity,
         "op5_decontamination": op5_decontamination,
         "op6_sharding": op6_sharding,
+        "op7_ann": op7_ann,
         "op8_line_dedup": op8_line_dedup,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_lm_scoring": op10_lm_scoring,
