@@ -27,7 +27,7 @@ from tokenizers.pre_tokenizers import Split
 
 from deltaextract.llm.common import slices
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 # The word pattern and the word end of the tokenizer files this reads.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
@@ -205,10 +205,14 @@ def _loaded(spec: str) -> PairIndexBpe:
     return PairIndexBpe(spec)
 
 
+CODED = "ids binary, decoded string"
+
+
 def bpe_columns(spark: SparkSession, tokenizer_path: str) -> tuple:
-    """Functions ``encode(text)`` (binary: little-endian unsigned 32-bit ids) and ``decode(ids)`` (string) for a tokenizer file.
+    """Functions of a tokenizer file: ``encode(text)`` (binary: little-endian unsigned 32-bit ids), ``decode(ids)`` (string), and ``both(text)`` (struct of the two).
 
-    A null text is encoded like the empty one (no ids). The file is read by the driver; it is a few MB whatever the data.
+    A null text is encoded like the empty one (no ids). The file is read by the driver; it is a few MB whatever the data. Results leave
+    a worker in slices, so that it never holds those of a whole Arrow batch.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         spec = spark.sparkContext.broadcast(file.read())
@@ -217,7 +221,8 @@ def bpe_columns(spark: SparkSession, tokenizer_path: str) -> tuple:
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = _loaded(spec.value)
         for texts in batches:
-            yield pd.Series([x for part in slices(texts) for x in bpe.encode(part)], dtype=object)
+            for part in slices(texts):
+                yield pd.Series(bpe.encode(part), dtype=object)
 
     @F.pandas_udf("string")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -225,7 +230,15 @@ def bpe_columns(spark: SparkSession, tokenizer_path: str) -> tuple:
         for ids in batches:
             yield pd.Series([None if x is None else bpe.decode(x) for x in ids], dtype=object)
 
-    return encode, decode
+    @F.pandas_udf(CODED)
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        bpe = _loaded(spec.value)
+        for texts in batches:
+            for part in slices(texts):
+                ids = bpe.encode(part)
+                yield pd.DataFrame({"ids": ids, "decoded": [bpe.decode(x) for x in ids]})
+
+    return encode, decode, both
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, *, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
@@ -234,9 +247,14 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, *, text: str = "text"
     Null and empty texts have no ids and decode to the empty text. Rows are never dropped or merged, so repeated rows give repeated
     results. A column of ``docs`` that has the name of a result is replaced by it; all other columns stay.
     """
-    encode, decode = bpe_columns(docs.sparkSession, tokenizer_path)
-    out = docs.withColumn(ids, encode(F.col(f"`{text}`")))
-    return out if decoded is None else out.withColumn(decoded, decode(F.col(f"`{ids}`")))
+    encode, _, both = bpe_columns(docs.sparkSession, tokenizer_path)
+    value = F.col(f"`{text}`")
+    if decoded is None:
+        return docs.withColumn(ids, encode(value))
+    # Both at once: one worker per task holds the tables.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in (ids, decoded)]).alias("row")
+    coded = docs.select(row, both.asNondeterministic()(value).alias("coded"))
+    return coded.select("row.*", F.col("coded.ids").alias(ids), F.col("coded.decoded").alias(decoded))
 
 
 def n_tokens(ids: Column) -> Column:
