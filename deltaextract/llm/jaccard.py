@@ -26,7 +26,7 @@ from deltaextract.llm.common import checkpointed, plain, slices
 from deltaextract.llm.components import components
 
 SHINGLE, THRESHOLD, RECALL = 5, 0.8, 0.9999
-TOKENS, SMALL, BRANCHES, DEPTH = 64, 1000, 3, 4
+TOKENS, SMALL, BRANCHES, DEPTH = 64, 3_000, 3, 3
 #: Sketches that agree in this share of places are checked: 4 standard deviations below the threshold.
 LOOSE = THRESHOLD - 4 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / TOKENS)
 #: Shingles in one block of an exact check, and in one task's group of blocks.
