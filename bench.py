@@ -52,7 +52,7 @@ def session(cpus: str) -> SparkSession:
 
 def plain_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def spark_sql(text: str) -> str:
-        for old, new in (("list_sort(", "sort_array("), ("(list(", "(collect_list("), ("array_to_string(", "array_join(")):
+        for old, new in (("CAST('0x' || ", "CAST(conv("), (", 15) AS BIGINT)", ", 15), 16, 10) AS DECIMAL(20,0))")):
             text = text.replace(old, new)
         return re.sub(r"\\(\d)", r"$\1", text.replace("varchar", "string"))
 

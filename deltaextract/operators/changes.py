@@ -65,16 +65,24 @@ def vanished_keys(current: DataFrame, previous: DataFrame, keys: Sequence[str])
 
 
 def changed_keys(
-    family: Iterable[tuple[DataFrame, DataFrame]], keys: Sequence[str], *, detect_vanished: bool = False
+    family: Iterable[tuple[DataFrame, DataFrame]],
+    keys: Sequence[str],
+    *,
+    detect_vanished: bool = False,
+    cohort: DataFrame | None = None,
 ) -> DataFrame:
     """Distinct keys changed in any member of a family, from (current, previous in scope) pairs, parent first.
 
     Removed parents show by absence from the live-key list. A child whose rows of one key have all gone leaves no
-    current fingerprint; ``detect_vanished`` adds those keys, so that the family is sent again without them.
+    current fingerprint; ``detect_vanished`` adds those keys, so that the family is sent again without them. A record that
+    has left the cohort looks the same from its children's side, and must not be sent: only keys of ``cohort``, the current one,
+    are added.
     """
+    if detect_vanished and cohort is None:
+        raise ValueError("vanished keys need the current cohort")
     found = []
     for member, (current, previous) in enumerate(family):
         found.append(changed_entity_keys(current, previous, keys))
         if detect_vanished and member > 0:
-            found.append(vanished_keys(current, previous, keys))
+            found.append(vanished_keys(current, previous, keys).join(cohort.select(*keys), list(keys), "left_semi"))
     return reduce(DataFrame.unionByName, found).distinct()

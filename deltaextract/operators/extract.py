@@ -18,4 +18,6 @@ def extract_delta(source: DataFrame, changed: DataFrame, spec: EntitySpec, salt:
 
 def live_keys(snapshot: DataFrame, spec: EntitySpec, salt: str | None = None) -> DataFrame:
     """Distinct keys of the current snapshot as delivered; a receiver drops what is not in it."""
-    return project_keys(snapshot, spec, salt).distinct()
+    # Raw keys are made distinct first: they are narrower than pseudonyms, and each is then hashed once. The second time is for
+    # keys that a transform makes equal.
+    return project_keys(snapshot.select(*spec.keys).distinct(), spec, salt).distinct()

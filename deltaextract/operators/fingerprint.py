@@ -1,39 +1,17 @@
 """Order-independent SHA-256 fingerprints per (keys, FY).
 
-The digest of a group is SHA-256 over its sorted row digests, which needs all of them in one place. That is right for
-the families this library is made for (a few to a few thousand rows per key) but not for a key that holds a large share
-of a table. Groups above ``split_rows`` therefore get a digest tree instead:
-
-1. rows are counted per distinct digest (map-side combined, so copies collapse before the shuffle),
-2. ``digest:copies`` entries are hashed per 6-digit digest prefix, those per 3-digit prefix, those per group.
-
-No task ever holds more than a small slice of such a group. Which form a group gets depends on its row count alone, so
-equal row multisets always give equal hashes and different ones different hashes, whichever form is used.
+Each row has a SHA-256 digest; a group's hash is made of the sums of its digests and its number of rows. The definition is the same for
+groups of any size, and sums combine map-side, so a key that holds a large share of a table is one small row from each task.
 """
 
 from __future__ import annotations
 
-import logging
-from dataclasses import dataclass
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deltaextract.config import EntitySpec
 from deltaextract.functions import group_digest, row_digest
-from deltaextract.functions.hashing import SEPARATOR
 from deltaextract.operators.project import ROW_ALIAS, hash_columns, source_rows
-from deltaextract.operators.sizing import BROADCAST_BYTES, measured
-from deltaextract.sources.shared import stored
-
-log = logging.getLogger(__name__)
-
-# Rows of one group hashed in a single task: 50,000 digests are about 3 MB. Part of the meaning of stored hashes.
-SPLIT_ROWS = 50_000
-# Oversized groups listed in memory and broadcast at most (a few MB); a longer list is a stored table, not broadcast.
-_LISTED_GROUPS = 100_000
-_PREFIX_LENGTHS = (6, 3, 0)
 
 
 def fingerprint(
@@ -42,117 +20,22 @@ def fingerprint(
     spec: EntitySpec,
     fy: str,
     *,
-    split_rows: int = SPLIT_ROWS,
     encoding: str = "joined",
     fan_out: bool = False,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(keys, FY, hash, hash_count) of all source rows whose key is in the cohort.
 
     Rows with a null key never match. By default a key matches once however many FYs it has in ``cohort``; with
     ``fan_out`` every cohort row of the key repeats its source rows, as a plain inner join does.
 
-    One job over the key columns runs right away, to find oversized groups and measure the cohort; ``cohort`` is read
-    again later and is best a stored frame.
+    Rows are hashed and aggregated before the join, so that what is shuffled is one narrow row per group and task, whatever the
+    width of the source; nothing runs while the frame is built. The join has no hint: Spark broadcasts a cohort that it knows to be small.
     """
     keys = list(spec.keys)
-    group = [*keys, fy]
-    source = source_rows(source, spec)
+    source = source_rows(source, spec).dropna(subset=keys)
     if fan_out:
         source = source.join(cohort.select(*keys), keys, "inner")
-    in_cohort = cohort.select(*keys).distinct()
-
-    groups = _inspect(source, cohort, keys, fy, split_rows)
-    small_source = source
-    if groups.oversized is not None:
-        small_source = source.join(groups.oversized, _same_group(source, groups.oversized, keys, fy), "left_anti")
-
-    if fan_out:
-        small = _digests(small_source, spec, fy, encoding)
-    elif groups.cohort_bytes <= broadcast_bytes:
-        # Few keys: rows are dropped before anything is hashed or shuffled.
-        matching = small_source.join(F.broadcast(in_cohort), keys, "left_semi")
-        small = _digests(matching, spec, fy, encoding)
-    else:
-        # Many keys: digests first, join second, so that 32 bytes per row are shuffled and not the row. An inner join
-        # on unique keys equals the semi join, and Catalyst does not push it below the projection.
-        small = _digests(small_source, spec, fy, encoding).join(in_cohort, keys, "inner")
-    # Rows meet by key before they are collected: collecting map-side as well would not make them fewer.
-    result = (
-        small.repartition(*[F.col(k) for k in keys])
-        .groupBy(*group)
-        .agg(group_digest(F.col("__digest")).alias("hash"), F.count(F.lit(1)).alias("hash_count"))
-    )
-    if groups.oversized is None:
-        return result
-
-    large = _digests(source, spec, fy, encoding)
-    if groups.listed:
-        large = large.join(groups.oversized, _same_group(large, groups.oversized, keys, fy), "left_semi")
-    # The tree keeps large groups only, also where too many of them to list were not selected beforehand.
-    trees = _digest_tree(large, keys, fy).where(F.col("hash_count") > split_rows)
-    if not fan_out:
-        trees = trees.join(in_cohort, keys, "inner").select(*result.columns)
-    return result.unionByName(trees)
-
-
-def _digests(source: DataFrame, spec: EntitySpec, fy: str, encoding: str) -> DataFrame:
     columns = hash_columns(spec, source.columns)
-    return source.alias(ROW_ALIAS).select(*spec.keys, fy, row_digest(columns, encoding).alias("__digest"))
-
-
-def _same_group(left: DataFrame, right: DataFrame, keys: list[str], fy: str) -> Column:
-    on_keys = [left[k] == right[k] for k in keys]
-    return reduce(lambda a, b: a & b, on_keys, left[fy].eqNullSafe(right[fy]))
-
-
-@dataclass(frozen=True)
-class _Groups:
-    cohort_bytes: int
-    oversized: DataFrame | None = None
-    listed: bool = True
-
-
-def _inspect(source: DataFrame, cohort: DataFrame, keys: list[str], fy: str, split_rows: int) -> _Groups:
-    """Size of the cohort and the groups with more than ``split_rows`` rows; counts combine map-side."""
-    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    sizes = source.groupBy(*keys, fy).agg(F.count(F.lit(1)).alias("__n"))
-    is_large = (F.col("__n") > split_rows) & ~no_key
-    found = sizes.agg(
-        F.count(F.when(is_large, 1)).alias("large"), F.sum(F.when(no_key, F.col("__n"))).alias("keyless")
-    )
-    seen = (
-        found.unionByName(measured(cohort.select(*keys)), allowMissingColumns=True)
-        .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("large", "keyless", "bytes")])
-        .first()
-    )
-    if seen.keyless:
-        log.warning("%d rows without a key are left out", seen.keyless)
-    if not seen.large:
-        return _Groups(seen.bytes)
-    log.info("%d groups hold more than %d rows each and are hashed in slices", seen.large, split_rows)
-    large = sizes.where(is_large).select(*keys, fy)
-    if seen.large > _LISTED_GROUPS:
-        return _Groups(seen.bytes, stored(large, "oversized_groups"), listed=False)
-    listed = large.sparkSession.createDataFrame(large.collect(), large.schema)
-    return _Groups(seen.bytes, F.broadcast(listed))
-
-
-def _digest_tree(rows: DataFrame, keys: list[str], fy: str) -> DataFrame:
-    group = [*keys, fy]
-    level = (
-        rows.groupBy(*group, "__digest")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__node", F.lower(F.hex("__digest")))
-        .select(*group, F.col("__node").alias("__prefix"), F.concat_ws(":", "__node", "__n").alias("__node"), "__n")
-    )
-    for length in _PREFIX_LENGTHS:
-        level = (
-            level.groupBy(*group, F.substring("__prefix", 1, length).alias("__short"))
-            .agg(
-                F.sha2(F.concat_ws(SEPARATOR, F.sort_array(F.collect_list("__node"))), 256).alias("__node"),
-                F.sum("__n").alias("__n"),
-            )
-            .withColumnRenamed("__short", "__prefix")
-        )
-    return level.select(*group, F.col("__node").alias("hash"), F.col("__n").alias("hash_count"))
+    digests = source.alias(ROW_ALIAS).select(*keys, fy, row_digest(columns, encoding).alias("__digest"))
+    groups = digests.groupBy(*keys, fy).agg(group_digest(F.col("__digest")).alias("hash"), F.count(F.lit(1)).alias("hash_count"))
+    return groups if fan_out else groups.join(cohort.select(*keys).distinct(), keys, "left_semi")

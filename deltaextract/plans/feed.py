@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
@@ -23,7 +24,7 @@ from deltaextract.operators.changes import (
 from deltaextract.operators.cohort import CohortLists, cohort_keys, org_filter
 from deltaextract.operators.control import control_rows
 from deltaextract.operators.extract import extract_delta, live_keys
-from deltaextract.operators.fingerprint import SPLIT_ROWS, fingerprint
+from deltaextract.operators.fingerprint import fingerprint
 from deltaextract.operators.snapshot import merge_snapshot, snapshot_schema
 from deltaextract.plans.concurrent import side_by_side
 from deltaextract.sources.delivery import ENCODING, charset_allowed, delivered_files, write_control, write_delivery
@@ -33,6 +34,9 @@ from deltaextract.sources.tables import period_schema, read_periods, write_by_pe
 
 log = logging.getLogger(__name__)
 
+#: Name of the group digest, stored with every run: hashes of another one cannot be compared.
+DIGEST = "sums of 60-bit words"
+
 _A = TypeVar("_A")
 _B = TypeVar("_B")
 
@@ -52,9 +56,8 @@ class FeedRun:
 
 
 def live_key_label(entity: str) -> str:
-    """``Deletes`` goes before the first underscore: ``Open_Daily`` gives ``OpenDeletes_Daily``."""
-    head, underscore, tail = entity.partition("_")
-    return f"{head}Deletes{underscore}{tail}"
+    """Name of an entity's list of live keys: the entity's name, with ``Deletes`` closing the part before its suffix (``_...``), if any."""
+    return re.sub(r"^[^_]*", r"\g<0>Deletes", entity, count=1)
 
 
 def run_feed(
@@ -63,8 +66,8 @@ def run_feed(
     salt: str | None = None,
     run_id: str | None = None,
     *,
-    split_rows: int = SPLIT_ROWS,
     hash_encoding: str = "joined",
+    rehash: bool = False,
     detect_vanished: bool = False,
     encoding: str = ENCODING,
     full_snapshot_every: int = 30,
@@ -76,9 +79,12 @@ def run_feed(
     and the control file; ``work/<run>/`` the tables between steps; ``state/`` what the next run compares against.
     Nothing in ``state`` counts until the run's last step. Entities of a step are independent, so up to ``concurrency``
     of their jobs are submitted side by side.
+
+    A snapshot that was built with other hash settings, or by a release with another digest, is refused. With ``rehash`` such a run starts
+    over instead: it reads all periods, delivers every record of the cohort, and writes a full snapshot.
     """
     run_id = run_id or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    run = _Run(spark, feed, salt, run_id, split_rows, hash_encoding)
+    run = _Run(spark, feed, salt, run_id, hash_encoding, rehash)
     if not run.find_changes():
         log.info("%s: no changed periods", feed.name)
         return FeedRun(run.run_id, ())
@@ -106,7 +112,7 @@ class _Run:
     """Paths and step functions of one run; every step reads and writes tables."""
 
     def __init__(
-        self, spark: SparkSession, feed: FeedSpec, salt: str | None, run_id: str, split_rows: int, hash_encoding: str
+        self, spark: SparkSession, feed: FeedSpec, salt: str | None, run_id: str, hash_encoding: str, rehash: bool
     ):
         self.spark, self.feed, self.salt, self.run_id = spark, feed, salt, run_id
         self.fy = feed.fy_column
@@ -117,13 +123,16 @@ class _Run:
         self.hashing = {
             "time_zone": spark.conf.get("spark.sql.session.timeZone"),
             "hash_encoding": hash_encoding,
-            "split_rows": split_rows,
+            "digest": DIGEST,
         }
-        for setting, value in self.hashing.items():
-            if self.earlier and self.earlier[-1][setting] != value:
-                raise ValueError(f"{setting} is {value}, the snapshot was built with {self.earlier[-1][setting]}")
         if any(r.run_id == run_id for r in self.earlier):
             raise ValueError(f"run {run_id} is complete already")
+        self.seq = self.earlier[-1].seq + 1 if self.earlier else 1
+        for setting, value in self.hashing.items():
+            if self.earlier and self.earlier[-1][setting] != value:
+                if not rehash:
+                    raise ValueError(f"{setting} is {value}, the snapshot was built with {self.earlier[-1][setting]}")
+                self.earlier = []
         self.fys: list[str] = []
         self.families: list[FamilySpec] = []
         self.members: list[tuple[FamilySpec, EntitySpec]] = []
@@ -206,14 +215,16 @@ class _Run:
             cohort,
             entity,
             self.fy,
-            split_rows=self.hashing["split_rows"],
             encoding=self.hashing["hash_encoding"],
         )
         write_by_period(current, self._fingerprints(entity), self.fy)
 
     def store_changed_keys(self, family: FamilySpec, detect_vanished: bool) -> None:
         pairs = [(self._current(e), in_periods(self._previous(e), self.fys, self.fy)) for e in family]
-        keys = changed_keys(pairs, family.parent.keys, detect_vanished=detect_vanished)
+        cohort = self.spark.read.parquet(self._cohort(family))
+        keys = changed_keys(pairs, family.parent.keys, detect_vanished=detect_vanished, cohort=cohort)
+        # What is extracted is in the cohort now, whatever made it look changed.
+        keys = keys.join(cohort.select(*family.parent.keys), list(family.parent.keys), "left_semi")
         keys.write.mode("overwrite").parquet(self._changed(family))
 
     # -- what is delivered --------------------------------------------------------------------------------------
@@ -267,8 +278,7 @@ class _Run:
         record_run(self.spark, f"{self.state}/runs", self._record())
 
     def _record(self) -> Row:
-        seq = self.earlier[-1].seq + 1 if self.earlier else 1
-        return Row(seq=seq, run_id=self.run_id, fys=self.fys, full=self._is_full, **self.hashing)
+        return Row(seq=self.seq, run_id=self.run_id, fys=self.fys, full=self._is_full, **self.hashing)
 
     def _schema(self, entity: EntitySpec) -> T.StructType:
         source = self._sources[entity.name].schema

@@ -8,7 +8,8 @@ _SALT = "test-salt"
 
 
 def _group_hash(row: str) -> str:
-    return f"sha256(array_to_string(list_sort(list(sha256({row}))), '~'))"
+    words = [f"cast(sum(CAST('0x' || substr(sha256({row}), {1 + 15 * k}, 15) AS BIGINT)) AS varchar)" for k in range(4)]
+    return f"sha256(concat_ws('~', {', '.join(words)}, cast(count(*) AS varchar)))"
 
 
 def _pseudonym(value: str) -> str:
@@ -121,21 +122,11 @@ _STEPS: dict[str, str] = {
         SELECT 'parent' AS entity, count(*) AS records FROM fx_parent_cur
         UNION ALL SELECT 'child', count(*) FROM fx_child_cur
         UNION ALL SELECT 'conversations', count(*) FROM conversations""",
-    # Digest tree, level by level, for groups above the split size.
-    "split_rows": f"""
-        SELECT rec_id, fy, sha256({_CHILD_ROW}) AS d FROM fx_child_cur t
-        WHERE EXISTS (SELECT 1 FROM cohort_in_changed k WHERE k.rec_id = t.rec_id)""",
-    "split_entries": "SELECT rec_id, fy, d, d || ':' || cast(count(*) AS varchar) AS e, count(*) AS n FROM split_rows GROUP BY rec_id, fy, d",
-    "split_leaves": """
-        SELECT rec_id, fy, substring(d, 1, 6) AS p, sha256(array_to_string(list_sort(list(e)), '~')) AS e, sum(n) AS n
-        FROM split_entries GROUP BY rec_id, fy, substring(d, 1, 6)""",
-    "split_nodes": """
-        SELECT rec_id, fy, substring(p, 1, 3) AS p, sha256(array_to_string(list_sort(list(e)), '~')) AS e, sum(n) AS n
-        FROM split_leaves GROUP BY rec_id, fy, substring(p, 1, 3)""",
-    "split_trees": """
-        SELECT rec_id, fy, sha256(array_to_string(list_sort(list(e)), '~')) AS hash, cast(sum(n) AS bigint) AS hash_count
-        FROM split_nodes GROUP BY rec_id, fy""",
-    "hash_child_vanished": _fingerprints("(SELECT * FROM fx_child_cur WHERE rec_id % 31 <> 0)", "cohort_in_changed", _CHILD_ROW),
+    # Some records have left the cohort, some have lost all their child rows.
+    "cohort_left": "SELECT * FROM cohort_in_changed WHERE rec_id % 7 <> 0",
+    "hash_parent_left": _fingerprints("fx_parent_cur", "cohort_left", _PARENT_ROW),
+    "hash_child_vanished": _fingerprints("(SELECT * FROM fx_child_cur WHERE rec_id % 31 <> 0)", "cohort_left", _CHILD_ROW),
+    "changed_parent_left": _changed("hash_parent_left", "hash_parent_prev"),
     "changed_child_vanished": _changed("hash_child_vanished", "hash_child_prev"),
 }
 
@@ -182,9 +173,8 @@ _QUERIES: dict[str, str] = {
     "folder_mod_times": "SELECT data_source, folder, true AS recent FROM fx_folders_cur",
     "fingerprint_parent": "SELECT * FROM hash_parent_cur",
     "fingerprint_child": "SELECT * FROM hash_child_cur",
-    "fingerprint_split": """
-        SELECT c.rec_id, c.fy, CASE WHEN c.hash_count > 3 THEN t.hash ELSE c.hash END AS hash, c.hash_count
-        FROM hash_child_cur c JOIN split_trees t ON c.rec_id = t.rec_id AND c.fy = t.fy""",
+    "fingerprint_split": f"""
+        SELECT rec_id % 3 AS rec_id, fy, {_group_hash(_CHILD_ROW)} AS hash, count(*) AS hash_count FROM fx_child_cur GROUP BY rec_id % 3, fy""",
     "key_join_semi": f"""
         SELECT rec_id, fy, {_group_hash("concat_ws('~', status, total_price)")} AS hash, count(*) AS hash_count
         FROM fx_parent_multi GROUP BY rec_id, fy""",
@@ -196,8 +186,9 @@ _QUERIES: dict[str, str] = {
     "changed_child": "SELECT * FROM changed_child",
     "changed_keys": "SELECT * FROM changed_keys",
     "changed_keys_vanished": """
-        SELECT rec_id FROM changed_parent UNION SELECT rec_id FROM changed_child_vanished
+        SELECT rec_id FROM changed_parent_left UNION SELECT rec_id FROM changed_child_vanished
         UNION SELECT rec_id FROM hash_child_prev p WHERE p.fy IN (SELECT fy FROM changed_periods)
+              AND EXISTS (SELECT 1 FROM cohort_left k WHERE k.rec_id = p.rec_id)
               AND NOT EXISTS (SELECT 1 FROM hash_child_vanished c WHERE c.rec_id = p.rec_id)""",
     "delta_parent": "SELECT * FROM delta_parent",
     "delta_child": "SELECT * FROM delta_child",

@@ -66,7 +66,6 @@ _QUERIES: dict[str, Query] = {}
 SNAPSHOT = snapshot_schema([T.StructField("rec_id", T.LongType())], "fy")
 PART_TARGETS = (1_000, 15_000, 10_000_000)
 CONTROL_TARGET = 4_000
-SPLIT_ROWS = 3
 
 
 def queries() -> dict[str, Query]:
@@ -282,7 +281,9 @@ def fingerprint_child(fx: Fixtures) -> DataFrame:
 
 @_query("fingerprint_split")
 def fingerprint_split(fx: Fixtures) -> DataFrame:
-    return fx.current_fingerprints(CHILD, split_rows=SPLIT_ROWS)
+    """Three keys hold all rows, each about a third."""
+    rows = fx.child.withColumn("rec_id", F.col("rec_id") % 3)
+    return fingerprint(rows, rows.select("rec_id").distinct(), CHILD, "fy")
 
 
 MULTI = _spec(["rec_id", "status", "total_price"])
@@ -337,11 +338,12 @@ def changed_family(fx: Fixtures) -> DataFrame:
 
 @_query("changed_keys_vanished")
 def changed_family_vanished(fx: Fixtures) -> DataFrame:
-    (parent,) = _pairs(fx, PARENT)
-    rows = in_periods(fx.child.where(F.col("rec_id") % 31 != 0), fx.changed_fys, "fy")
-    child = fingerprint(rows, fx.cohort_in_changed, CHILD, "fy")
-    pairs = [parent, (child, fx.previous_in_changed(CHILD))]
-    return changed_keys(pairs, PARENT.keys, detect_vanished=True)
+    """Some records have left the cohort, some have lost all their child rows; only the latter count."""
+    cohort = fx.cohort_in_changed.where(F.col("rec_id") % 7 != 0)
+    rows = fx.child.where(F.col("rec_id") % 31 != 0)
+    current = [fingerprint(in_periods(r, fx.changed_fys, "fy"), cohort, spec, "fy") for r, spec in ((fx.parent, PARENT), (rows, CHILD))]
+    pairs = list(zip(current, [fx.previous_in_changed(PARENT), fx.previous_in_changed(CHILD)], strict=True))
+    return changed_keys(pairs, PARENT.keys, detect_vanished=True, cohort=cohort)
 
 
 # -- delivery -------------------------------------------------------------------------------------------------------

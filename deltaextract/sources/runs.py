@@ -26,7 +26,7 @@ RUN_SCHEMA = T.StructType(
         # What stored hashes depend on.
         T.StructField("time_zone", T.StringType()),
         T.StructField("hash_encoding", T.StringType()),
-        T.StructField("split_rows", T.LongType()),
+        T.StructField("digest", T.StringType()),
     ]
 )
 
@@ -45,16 +45,14 @@ def record_run(spark: SparkSession, path: str, run: Row) -> None:
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, fy: str, runs: Sequence[Row]) -> DataFrame:
     """Fingerprints visible after ``runs``: each run's rows except for FYs that a later run has read.
 
-    The condition is on partition columns only, so hidden and unfinished runs are never opened.
+    Each run's folder is named, so that those of hidden and unfinished runs are not even listed; an entity that a run did not have yet has
+    no rows of it. Conditions are on the partition column. There are at most as many runs as lie between two full snapshots.
     """
     if not runs:
         return spark.createDataFrame([], schema)
-    stored = read_or_empty(spark, path, T.StructType([*schema, T.StructField("run", T.StringType())]))
     visible, later = [], set()
     for run in reversed(runs):
-        condition = F.col("run") == run.run_id
-        if later:
-            condition &= F.col(fy).isNull() | ~F.col(fy).isin(sorted(later))
-        visible.append(condition)
+        rows = read_or_empty(spark, f"{path}/run={run.run_id}", schema).select(*schema.names)
+        visible.append(rows.where(F.col(fy).isNull() | ~F.col(fy).isin(sorted(later))) if later else rows)
         later |= set(run.fys)
-    return stored.where(reduce(lambda a, b: a | b, visible)).select(*schema.names)
+    return reduce(DataFrame.unionByName, visible)

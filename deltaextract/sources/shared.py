@@ -2,26 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_dir(_application: str) -> str:
-    return tempfile.mkdtemp(prefix="deltaextract-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset and Spark runs locally."""
+    """``spark.checkpoint.dir`` of the session, or a folder of the warehouse, which executors share as well, where that is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_dir(spark.conf.get("spark.app.id", ""))
+    return configured.rstrip("/") if configured else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -9,22 +9,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+# Types that hold all values of those before them.
+_WHOLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
+_FLOATING = (T.FloatType(), T.DoubleType())
+
+
+def _wider(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    for kinds in (_WHOLE, _FLOATING):
+        if a in kinds and b in kinds:
+            return max(a, b, key=kinds.index)
+    return None
+
+
 def period_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType:
-    """Union of the folders' schemas by column name.
+    """Union of the schemas of all files below the folders, by column name; whole and floating numbers become the wider type.
 
-    One footer per folder is read: columns come and go between periods, not within one, and ``mergeSchema`` would open
-    every file of every period.
+    Spark reads the footers of a folder in parallel.
     """
-    fields: dict[str, T.StructField] = {}
+    fields: dict[str, T.DataType] = {}
     for path in paths:
-        for found in spark.read.parquet(path).schema:
-            known = fields.setdefault(found.name, T.StructField(found.name, found.dataType, True))
-            if known.dataType != found.dataType:
-                raise ValueError(
-                    f"{path}: column {found.name} is {found.dataType.simpleString()}, "
-                    f"elsewhere {known.dataType.simpleString()}"
-                )
-    return T.StructType(list(fields.values()))
+        for found in spark.read.option("mergeSchema", True).parquet(path).schema:
+            known = fields.setdefault(found.name, found.dataType)
+            if known != found.dataType:
+                wider = _wider(known, found.dataType)
+                if wider is None:
+                    raise ValueError(f"{path}: column {found.name} is {found.dataType.simpleString()}, elsewhere {known.simpleString()}")
+                fields[found.name] = wider
+    return T.StructType([T.StructField(name, kind, True) for name, kind in fields.items()])
 
 
 def read_periods(spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None) -> DataFrame:

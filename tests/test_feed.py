@@ -189,10 +189,21 @@ def test_period_floor_and_hash_setting_guards(spark, world):
             world.run()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    with pytest.raises(ValueError, match="split_rows"):
-        world.run(split_rows=7)
     with pytest.raises(ValueError, match="hash_encoding"):
         world.run(hash_encoding="framed")
+    again = world.run(hash_encoding="framed", rehash=True)
+    assert again.periods == ("2013/14",)
+    assert not world.run(hash_encoding="framed").changed
+
+
+@pytest.mark.parametrize("detect_vanished", [False, True])
+def test_records_that_leave_the_cohort_are_not_sent(world, detect_vanished):
+    world.run(run_id="r1")
+    # 4 moves to an organisation outside the region; its child rows stay.
+    world.put("spell", "FY2013-14", [(4, "2013/14", "O9", None, "d"), (5, "2013/14", "O1", None, "e")], PARENT)
+    second = world.run(run_id="r2", detect_vanished=detect_vanished)
+    assert not [line for label in ("spell", "diag") for line in world.lines(second, label) if line.startswith(code(4))]
+    assert code(4) not in world.lines(second, "spellDeletes")
 
 
 def test_receiver_stays_in_step(world):

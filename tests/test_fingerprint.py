@@ -1,7 +1,6 @@
 """Fingerprints: order, duplicates, nulls, skewed keys, and every physical path giving the same answer."""
 
 import hashlib
-import importlib
 import random
 
 import pytest
@@ -11,8 +10,6 @@ from hypothesis import strategies as st
 from deltaextract.config import EntitySpec
 from deltaextract.operators import fingerprint
 
-module = importlib.import_module("deltaextract.operators.fingerprint")
-
 SPEC = EntitySpec.from_mapping("e", {"columns": ["id", "a", "b", "c"], "keys": ["id"], "encrypt": ["a"]})
 SCHEMA = "id long, fy string, a string, b string, c string"
 
@@ -26,7 +23,11 @@ def expected(rows):
     for key, fy, *values in rows:
         if key is not None:
             groups.setdefault((key, fy), []).append(sha("~".join(v for v in values if v is not None)))
-    return {g: (sha("~".join(sorted(d))), len(d)) for g, d in groups.items()}
+
+    def digest(hashes):
+        return sha("~".join([*[str(sum(int(h[15 * k : 15 * k + 15], 16) for h in hashes)) for k in range(4)], str(len(hashes))]))
+
+    return {g: (digest(d), len(d)) for g, d in groups.items()}
 
 
 def run(spark, rows, keys=None, spec=SPEC, **options):
@@ -92,45 +93,31 @@ def skewed_rows():
     return rows
 
 
-PATHS = {
-    "few keys": {},
-    "many keys": {"broadcast_bytes": 0},
-}
-
-
-@pytest.mark.parametrize("path", PATHS)
-def test_split_groups_differ_only_in_form(spark, path):
-    whole, split = run(spark, skewed_rows(), **PATHS[path]), run(spark, skewed_rows(), split_rows=50, **PATHS[path])
-    assert whole == expected(skewed_rows())
-    hot = {(1, "2012/13"), (2, None)}
-    assert {g for g in whole if whole[g][0] != split[g][0]} == hot
-    assert {g: n for g, (_, n) in whole.items()} == {g: n for g, (_, n) in split.items()}
+def test_hot_keys_hash_alike_however_they_are_partitioned(spark):
+    rows = skewed_rows()
+    assert run(spark, rows) == expected(rows)
+    source = spark.createDataFrame(rows, SCHEMA)
+    for spread in (source.coalesce(1), source.repartition(7), source.repartition(5, "a")):
+        found = fingerprint(spread, source.select("id", "fy").distinct(), SPEC, "fy").collect()
+        assert {(r.id, r.fy): (r.hash, r.hash_count) for r in found} == expected(rows)
 
 
-def test_split_hash_sees_edits_copies_and_not_order(spark):
+def test_hash_sees_edits_copies_swaps_and_not_order(spark):
     rows = skewed_rows()
-    base = run(spark, rows, split_rows=50)
+    base = run(spark, rows)
     shuffled = rows[:]
     random.Random(3).shuffle(shuffled)
-    assert run(spark, shuffled, split_rows=50) == base
+    assert run(spark, shuffled) == base
     one_copy_edited = [*rows[:299], (1, "2012/13", "copy!", "y", None), *rows[300:]]
-    changed = run(spark, one_copy_edited, split_rows=50)
+    changed = run(spark, one_copy_edited)
     assert {g for g in base if base[g] != changed[g]} == {(1, "2012/13")}
     one_copy_for_another = [*rows[:199], rows[299], *rows[200:]]
-    assert run(spark, one_copy_for_another, split_rows=50)[(1, "2012/13")] != base[(1, "2012/13")]
-
-
-def test_more_oversized_groups_than_can_be_listed(spark, monkeypatch):
-    listed = run(spark, skewed_rows(), split_rows=2)
-    monkeypatch.setattr(module, "_LISTED_GROUPS", 1)
-    assert run(spark, skewed_rows(), split_rows=2) == listed
-    assert run(spark, skewed_rows(), split_rows=50) == run(spark, skewed_rows(), split_rows=50, broadcast_bytes=0)
+    assert run(spark, one_copy_for_another)[(1, "2012/13")] != base[(1, "2012/13")]
 
 
-def test_split_respects_cohort_and_fan_out(spark):
-    assert set(run(spark, skewed_rows(), [(1, "x"), (11, "x")], split_rows=50)) == {(1, "2012/13"), (11, "2012/13")}
-    fanned = run(spark, skewed_rows(), [(1, "x"), (1, "y")], split_rows=50, fan_out=True)
-    assert fanned[(1, "2012/13")][1] == 600
+def test_hot_keys_respect_cohort_and_fan_out(spark):
+    assert set(run(spark, skewed_rows(), [(1, "x"), (11, "x")])) == {(1, "2012/13"), (11, "2012/13")}
+    assert run(spark, skewed_rows(), [(1, "x"), (1, "y")], fan_out=True)[(1, "2012/13")][1] == 600
 
 
 def test_filter_limits_what_is_hashed(spark):
@@ -149,9 +136,7 @@ def test_any_rows_match_a_plain_computation(spark, rows):
     assert run(spark, rows) == expected(rows)
 
 
-def test_many_keys_path_shuffles_digests_not_rows(spark):
+def test_sums_combine_before_the_shuffle(spark):
     source = spark.createDataFrame(ROWS, SCHEMA)
-    cohort = source.select("id", "fy").distinct()
-    plan = fingerprint(source, cohort, SPEC, "fy", broadcast_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
-    join = plan.index("Join Inner")
-    assert "sha2" in plan[join:]
+    plan = fingerprint(source, source.select("id", "fy").distinct(), SPEC, "fy")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan and "collect_list" not in plan and "SortAggregate" not in plan
