@@ -27,7 +27,7 @@ from tokenizers.pre_tokenizers import Split
 
 from deltaextract.llm.common import slices
 
-CACHE_WORDS = 200_000
+CACHE_WORDS = 120_000
 # The word pattern and the word end of the tokenizer files this reads.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters of text that a Python task works on at a time, whatever the size of the Arrow batch.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 
 
 def fold_of(doc_id: Column, folds: int) -> Column:

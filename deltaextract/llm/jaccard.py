@@ -55,7 +55,7 @@ class _Shingler:
         if not words:
             return np.empty(0, np.uint64)
         known = self._known
-        if len(known) > 1_000_000:
+        if len(known) > 150_000:
             known.clear()
         for w in set(words).difference(known):
             known[w] = xxhash.xxh3_64_intdigest(w)
