@@ -9,7 +9,7 @@ import numpy as np
 #: Bits of a successor's hash below its context.
 SUCCESSOR_BITS = 40
 #: Codes of counts: exact up to ``EXACT``, then in steps of a factor. 0: not there.
-EXACT, FACTOR = 127, 1.12
+EXACT, FACTOR = 32_767, 1.0005
 _HEAD = np.dtype("<i8")
 
 
@@ -94,11 +94,11 @@ class EliasFano:
 def quantised(counts: np.ndarray) -> np.ndarray:
     large = np.maximum(counts, EXACT)
     codes = np.where(counts <= EXACT, counts, EXACT + np.rint(np.log(large / EXACT) / np.log(FACTOR)))
-    return np.minimum(codes, 255).astype(np.uint8)
+    return np.minimum(codes, 65_535).astype(np.uint16)
 
 
 def dequantised(codes: np.ndarray) -> np.ndarray:
-    table = np.concatenate([np.arange(EXACT + 1), EXACT * FACTOR ** np.arange(1, 256 - EXACT)])
+    table = np.concatenate([np.arange(EXACT + 1), EXACT * FACTOR ** np.arange(1, 65_536 - EXACT)])
     return table[codes]
 
 
@@ -125,7 +125,7 @@ class NgramTrie:
         asked = np.flatnonzero(known[of])
         of = of[asked]
         place = self.successors.find(node[of].astype(np.uint64) << np.uint64(SUCCESSOR_BITS) | successors[asked], first[of], stop[of])
-        codes = np.zeros(len(successors), np.uint8)
+        codes = np.zeros(len(successors), np.uint16)
         codes[asked] = np.where(place >= 0, self.codes[place], 0)
         return stop - first, codes
 
@@ -141,7 +141,7 @@ class NgramTrie:
             sequence, at = EliasFano.read(view, at)
             found.append(sequence)
         n = int(np.frombuffer(view, _HEAD, 1, at)[0])
-        return cls(*found, np.frombuffer(view, np.uint8, n, at + 8))
+        return cls(*found, np.frombuffer(view, np.uint16, n, at + 8))
 
     @classmethod
     def mapped(cls, path: str) -> NgramTrie:

@@ -6,10 +6,9 @@ text is no shard's burden. A shard adds up the counts, builds an Elias-Fano trie
 context, quantised counts), looks up what each batch has asked, and answers in the order of the question. The batch then has all it
 needs to score its texts. Nothing is collected, and no executor holds the whole model.
 
-The model: absolute discounting, interpolated with the base distribution,
-p(w | v) = max(c(v w) - D, 0) / c(v) + D t(v) / c(v) * base(w), where t(v) is the number of different successors of v, D comes from the numbers of
-pairs seen once and twice, and a context never seen leaves base(w). Counts c(v w) are quantised (exact up to 127, then within 6 %). A context's own count and t(v) lie in
-several shards, so the shards keep the counts quantised and the batch completes the probabilities.
+The model: Dirichlet smoothing towards the base distribution, p(w | v) = (c(v w) + M base(w)) / (c(v) + M), with M = ``PRIOR``, so a context never
+seen leaves base(w). Counts c(v w) are quantised (exact up to 32,767, then within 0.03 %). c(v) and base(w) belong to words of other shards, so the
+shards keep the counts quantised and the batch, which has all three, completes the probabilities.
 """
 
 from __future__ import annotations
@@ -30,6 +29,8 @@ from deltaextract.llm.eliasfano import SUCCESSOR_BITS, NgramTrie, dequantised
 #: Bytes of text in one batch and behind one shard: what a Python worker holds at a time.
 BATCH_BYTES, SHARD_BYTES = 12_000_000, 24_000_000
 SPREAD = 16
+#: Occurrences that the base distribution is worth in every context.
+PRIOR = 16.0
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 # Words never hold white space, and are never empty: these two stand for the end of a text and for what is before its first word.
@@ -101,13 +102,9 @@ class _Batch:
             "pair_counts": _packed(self.pair_counts[pairs]),
         }
 
-    def contexts(self, shard: int) -> np.ndarray:
-        first = self.first[self.pair_order[self.pair_cuts[shard] : self.pair_cuts[shard + 1]]]
-        return first[np.append(True, first[1:] != first[:-1])] if len(first) else first
-
 
 _ASKED = "shard int, batch long, words binary, counts binary, contexts binary, degrees binary, successors binary, pair_counts binary"
-_ANSWER = "batch long, shard int, counts binary, types binary, codes binary, n long, v long, once long, twice long"
+_ANSWER = "batch long, shard int, counts binary, codes binary, n long, v long"
 
 
 def _successors(data: bytes) -> np.ndarray:
@@ -125,8 +122,7 @@ def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def _trie_of(rows: pd.DataFrame) -> tuple[NgramTrie, np.ndarray]:
-    """The trie of a shard and the counts of its pairs."""
+def _trie_of(rows: pd.DataFrame) -> NgramTrie:
     contexts, keys, counts = [], [], []
     for r in rows.itertuples():
         degrees, c = _unpacked(r.degrees), _unpacked(r.pair_counts)
@@ -139,19 +135,19 @@ def _trie_of(rows: pd.DataFrame) -> tuple[NgramTrie, np.ndarray]:
     if len(known) >= 1 << (64 - SUCCESSOR_BITS):
         raise ValueError("too many contexts in a shard: lower SHARD_BYTES")
     merged, sums = _merged(np.searchsorted(known, joined).astype(np.uint64) << np.uint64(SUCCESSOR_BITS) | np.concatenate(keys), np.concatenate(counts))
-    return NgramTrie.from_buffer(NgramTrie.build(known, merged, sums).to_bytes()), sums
+    return NgramTrie.from_buffer(NgramTrie.build(known, merged, sums).to_bytes())
 
 
 def _answer(rows: pd.DataFrame) -> pd.DataFrame:
     words = [np.frombuffer(x, np.uint64) for x in rows["words"]]
     known, sums = _merged(np.concatenate(words), np.concatenate([_unpacked(x) for x in rows["counts"]]))
-    trie, pairs = _trie_of(rows)
+    trie = _trie_of(rows)
     out = []
     for asked, r in zip(words, rows.itertuples(), strict=True):
-        types, codes = trie.lookup(np.frombuffer(r.contexts, np.uint64), _unpacked(r.degrees), _successors(r.successors))
-        totals = int(sums.sum()), int((sums > 0).sum()), int((pairs == 1).sum()), int((pairs == 2).sum())
-        out.append((r.batch, r.shard, _packed(sums[np.searchsorted(known, asked)]), _packed(types), zstandard.ZstdCompressor(level=1).compress(codes.tobytes()), *totals))
-    return pd.DataFrame(out, columns=["batch", "shard", "counts", "types", "codes", "n", "v", "once", "twice"])
+        _, codes = trie.lookup(np.frombuffer(r.contexts, np.uint64), _unpacked(r.degrees), _successors(r.successors))
+        totals = int(sums.sum()), int((sums > 0).sum())
+        out.append((r.batch, r.shard, _packed(sums[np.searchsorted(known, asked)]), zstandard.ZstdCompressor(level=1).compress(codes.tobytes()), *totals))
+    return pd.DataFrame(out, columns=["batch", "shard", "counts", "codes", "n", "v"])
 
 
 def _score(docs: pd.DataFrame, answers: pd.DataFrame, shards: int) -> pd.DataFrame:
@@ -159,22 +155,18 @@ def _score(docs: pd.DataFrame, answers: pd.DataFrame, shards: int) -> pd.DataFra
         return pd.DataFrame(columns=[c.split()[0] for c in SCORED.split(", ")])
     train = docs["train"].to_numpy(bool)
     batch = _Batch(docs["text"].tolist(), train, shards)
-    counts, types = np.zeros(len(batch.hashes)), np.zeros(len(batch.hashes))
-    codes = np.zeros(len(batch.first), np.uint8)
+    counts = np.zeros(len(batch.hashes))
+    codes = np.zeros(len(batch.first), np.uint16)
     for r in answers.itertuples():
         counts[batch.word_order[batch.word_cuts[r.shard] : batch.word_cuts[r.shard + 1]]] = _unpacked(r.counts)
-        np.add.at(types, batch.contexts(r.shard), _unpacked(r.types))
-        codes[batch.pair_order[batch.pair_cuts[r.shard] : batch.pair_cuts[r.shard + 1]]] = np.frombuffer(zstandard.ZstdDecompressor().decompress(r.codes), np.uint8) if r.codes else 0
-    n, v, once, twice = (int(answers[c].sum()) for c in ("n", "v", "once", "twice"))
-    discount = once / (once + 2 * twice) if once and twice else 0.5
+        codes[batch.pair_order[batch.pair_cuts[r.shard] : batch.pair_cuts[r.shard + 1]]] = np.frombuffer(zstandard.ZstdDecompressor().decompress(r.codes), np.uint16)
+    n, v = int(answers["n"].sum()), int(answers["v"].sum())
     base = (counts + 0.1) / (n + 0.1 * (v + 1))
     # Before a first word stands one start for each training text, as many as there are ends.
     own = counts.copy()
     own[batch.start] = counts[batch.end]
-    context = own[batch.first]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        p = np.maximum(dequantised(codes) - discount, 0) / context + np.minimum(discount * types[batch.first] / context, 1) * base[batch.second]
-    p = np.where(context > 0, np.minimum(p, 1.0), base[batch.second])
+    p = (dequantised(codes) + PRIOR * base[batch.second]) / (own[batch.first] + PRIOR)
+    p = np.minimum(p, 1.0)
     starts = batch.bounds[:-1]
     return pd.DataFrame(
         {
@@ -227,6 +219,6 @@ def model(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", folds:
     rows, shards = _dealt(docs, doc_id, text, folds)
 
     def built(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "trie": [_trie_of(rows)[0].to_bytes()]})
+        return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "trie": [_trie_of(rows).to_bytes()]})
 
     return _questions(rows, shards).groupBy("shard").applyInPandas(built, "shard int, trie binary")
