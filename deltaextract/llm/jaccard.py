@@ -280,6 +280,14 @@ def similar_texts(docs: DataFrame, *, text: str = "text", size: int = SHINGLE, t
     return counts.join(roots.select(F.col("node").alias("key"), "root"), "key").select("key", "root", "links")
 
 
+def _text_classes(docs: DataFrame, doc_id: str, text: str, settings: dict) -> DataFrame:
+    """One row per distinct non-null text: ``key``, ``least`` id, ``n_copies``, ``root`` (key that names its class), ``links``."""
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.unhex(F.md5(F.col(f"`{text}`"))).alias("key"))
+    texts = rows.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"), (F.count(F.lit(1)) - 1).alias("n_copies"))
+    similar = checkpointed(similar_texts(docs, text=text, **settings))
+    return texts.join(similar, "key", "left").withColumn("root", F.coalesce("root", "key"))
+
+
 def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **settings: float) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``class_id``, ``n_links``, ``n_copies``.
 
@@ -289,9 +297,7 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **se
     class of its own. Ids may repeat or be null; a class without any id has a null ``class_id``.
     """
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.unhex(F.md5(F.col(f"`{text}`"))).alias("key"))
-    texts = rows.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"), (F.count(F.lit(1)) - 1).alias("n_copies"))
-    similar = checkpointed(similar_texts(docs, text=text, **settings))
-    named = texts.join(similar, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    named = _text_classes(docs, doc_id, text, settings)
     least = named.groupBy("root").agg(F.min("least").alias("class_id"))
     by_text = named.join(least, "root").select("key", "class_id", F.coalesce("links", F.lit(0)).alias("n_links"), "n_copies")
     return rows.join(by_text, "key", "left").select(
@@ -303,9 +309,14 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **se
 
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **settings: float) -> DataFrame:
-    """One row of each class of ``docs``, that with the least id (of rows alike in id, any one); the columns of ``docs``. Rows without a text all stay."""
-    found = classes(docs, doc_id=doc_id, text=text, **settings).where("class_id is not null or doc_id is null").select(F.col("doc_id").alias("_doc"), F.col("class_id").alias("_class")).distinct()
-    with_text = docs.where(F.col(f"`{text}`").isNotNull())
-    named = with_text.join(found, F.col(f"`{doc_id}`").eqNullSafe(F.col("_doc"))).where(F.col("_doc").eqNullSafe(F.col("_class")))
-    one = named.dropDuplicates(["_class"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One row of each class of ``docs``, with the columns of ``docs``; rows without a text all stay.
+
+    The row with the least id stays (a null id comes last); among different texts of one id, that with the smaller hash; of rows alike in
+    id and text, any one. Ids may repeat or be null: classes are told apart by their texts.
+    """
+    first = F.min(F.struct(F.col("least").isNull(), "least", "key"))
+    chosen = _text_classes(docs, doc_id, text, settings).groupBy("root").agg(first.alias("first")).select(F.col("first.key").alias("_key"), F.col("first.least").alias("_least"))
+    keyed = docs.where(F.col(f"`{text}`").isNotNull()).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{doc_id}`").alias("_id"), F.unhex(F.md5(F.col(f"`{text}`"))).alias("_own"))
+    # Joined on text and id together: the copies of one text, however many, are spread by their ids.
+    one = keyed.join(chosen, (F.col("_own") == F.col("_key")) & F.col("_id").eqNullSafe(F.col("_least"))).dropDuplicates(["_key"]).select("_row.*")
     return one.union(docs.where(F.col(f"`{text}`").isNull()))

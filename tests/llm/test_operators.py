@@ -201,6 +201,19 @@ def test_similar_documents(spark, docs, monkeypatch):
     assert jaccard.classes(frame.limit(0)).count() == 0
 
 
+def test_one_document_of_each_class_stays_whatever_the_ids(spark):
+    words = [" ".join(f"{kind}{i}" for i in range(40)) for kind in ("apple", "pear", "plum", "fig", "kiwi")]
+    rows = [(None, words[0]), (None, words[1]), (None, words[1]), (5, words[2]), (3, words[2]), (5, words[3]), (None, words[3]), (7, words[3] + " more"), (3, words[4]), (9, words[4]), (None, None), (5, None)]
+    rows += [(4, "one two"), (4, "one two"), (None, ""), (1, "")]
+    frame = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, _key int")
+    kept = jaccard.keep_one(frame)
+    assert kept.columns == frame.columns
+    assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=str) == sorted(
+        [(None, words[0]), (None, words[1]), (3, words[2]), (5, words[3]), (3, words[4]), (None, None), (5, None), (4, "one two"), (1, "")], key=str
+    )
+    assert jaccard.keep_one(frame.limit(0)).count() == 0
+
+
 def test_elias_fano_and_trie(tmp_path):
     rng = np.random.default_rng(3)
     for values in (rng.integers(0, 2**63, 500, dtype=np.uint64) * np.uint64(2), np.arange(50, dtype=np.uint64), np.array([2**64 - 1], np.uint64), np.array([], np.uint64)):
