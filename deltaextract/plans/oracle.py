@@ -170,17 +170,18 @@ _QUERIES: dict[str, str] = {
         SELECT data_source, folder FROM fx_folders_cur
         WHERE folder IN (SELECT folder FROM changed_periods) AND NOT (data_source = 'child' AND folder = 'FY1999-00/')""",
     "folder_state_roundtrip": "SELECT data_source, folder, strftime(last_modified, '%Y-%m-%d %H:%M:%S') AS last_modified FROM fx_folders_cur",
-    "folder_mod_times": "SELECT data_source, folder, true AS recent FROM fx_folders_cur",
+    "folder_mod_times": "SELECT data_source, folder, true AS is_last, true AS after_first FROM fx_folders_cur",
     "fingerprint_parent": "SELECT * FROM hash_parent_cur",
     "fingerprint_child": "SELECT * FROM hash_child_cur",
     "fingerprint_split": f"""
         SELECT rec_id % 3 AS rec_id, fy, {_group_hash(_CHILD_ROW)} AS hash, count(*) AS hash_count FROM fx_child_cur GROUP BY rec_id % 3, fy""",
     "key_join_semi": f"""
         SELECT rec_id, fy, {_group_hash("concat_ws('~', status, total_price)")} AS hash, count(*) AS hash_count
-        FROM fx_parent_multi GROUP BY rec_id, fy""",
+        FROM fx_parent_multi e WHERE EXISTS (SELECT 1 FROM cohort_keys k WHERE k.rec_id = e.rec_id) GROUP BY rec_id, fy""",
     "key_join_inner": f"""
         SELECT e.rec_id, e.fy, {_group_hash("concat_ws('~', status, total_price)")} AS hash, count(*) AS hash_count
         FROM fx_parent_multi e JOIN (SELECT DISTINCT rec_id, fy FROM fx_parent_multi) k ON e.rec_id = k.rec_id
+        WHERE EXISTS (SELECT 1 FROM cohort_keys c WHERE c.rec_id = e.rec_id)
         GROUP BY e.rec_id, e.fy""",
     "changed_parent": "SELECT * FROM changed_parent",
     "changed_child": "SELECT * FROM changed_child",
@@ -205,7 +206,7 @@ _QUERIES: dict[str, str] = {
     "control_file": """
         SELECT 'cExtractFileName|~|nRecordCount|~|cDatum|~|dPeriodStart|~|dPeriodEnd' AS line
         UNION ALL
-        SELECT entity || '_part' || cast(i AS varchar) || '.csv.gz|~|' || cast(records AS varchar)
+        SELECT entity || '/part-' || lpad(cast(i - 1 AS varchar), 5, '0') || '|~|' || cast(records AS varchar)
                || '|~|order_date|~|1970-04-01 00:00:00|~|2999-01-01 00:00:00'
         FROM (SELECT entity, records, unnest(range(1, records // 4000 + 2)) AS i FROM record_counts)""",
     "snapshot_roundtrip": "SELECT * FROM hash_child_prev",
@@ -221,7 +222,11 @@ _QUERIES: dict[str, str] = {
         UNION ALL
         SELECT 'child', concat(record_id, '|', line_no, '|', part_ref, '|', quantity, '|', price, '|', coalesce(return_flag, ''),
                '|', shipped_on) FROM delta_child
-        UNION ALL SELECT 'parentDeletes', record_id FROM live_keys""",
+        UNION ALL SELECT 'parentDeletes', record_id FROM live_keys
+        UNION ALL SELECT 'control', 'cExtractFileName|~|nRecordCount|~|cDatum|~|dPeriodStart|~|dPeriodEnd'
+        UNION ALL SELECT 'control', name || '/part-00000|~|' || cast(records AS varchar) || '|~|order_date|~|1970-04-01 00:00:00|~|2999-01-01 00:00:00'
+        FROM (SELECT 'parent' AS name, count(*) AS records FROM delta_parent UNION ALL SELECT 'child', count(*) FROM delta_child
+              UNION ALL SELECT 'parentDeletes', count(*) FROM live_keys)""",
 }
 
 

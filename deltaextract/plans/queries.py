@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import partial
+from functools import partial, reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +49,7 @@ from deltaextract.plans.fixtures import (
     Fixtures,
 )
 from deltaextract.sources import (
+    delivered_files,
     folder_listing,
     read_folder_state,
     read_or_empty,
@@ -248,9 +249,14 @@ def folder_state_roundtrip(fx: Fixtures) -> DataFrame:
     return state.withColumn("last_modified", F.date_format("last_modified", "yyyy-MM-dd HH:mm:ss"))
 
 
-def _write_folders(frame: DataFrame, base: str, fys: list[str]) -> None:
+def _write_folders(frame: DataFrame, base: str, fys: list[str], mode: str = "overwrite") -> None:
+    """One folder per FY; the frame is evaluated once, and each folder is then filled from its own partition."""
+    path = scratch_path(frame.sparkSession, "by_period")
+    write_by_period(frame, path, "fy")
+    rows = frame.sparkSession.read.schema(frame.schema).parquet(path).select(frame.columns)
+
     def write(fy: str) -> None:
-        frame.where(F.col("fy") == fy).write.mode("overwrite").parquet(f"{base}/FY{fy[:4]}-{fy[5:]}")
+        rows.where(F.col("fy") == fy).write.mode(mode).parquet(f"{base}/FY{fy[:4]}-{fy[5:]}")
 
     side_by_side([partial(write, fy) for fy in fys])
 
@@ -259,11 +265,23 @@ def _write_folders(frame: DataFrame, base: str, fys: list[str]) -> None:
 def folder_mod_times(fx: Fixtures) -> DataFrame:
     base = scratch_path(fx.spark, "sources")
     fys = [r.fy for r in fx.parent.select("fy").distinct().collect()]
-    _write_folders(fx.parent, f"{base}/parent", fys)
-    _write_folders(fx.child, f"{base}/child", fys)
+    for mode in ("overwrite", "append"):  # two files at least, the second some time after the first
+        _write_folders(fx.parent, f"{base}/parent", fys, mode)
+        _write_folders(fx.child, f"{base}/child", fys, mode)
     listing = folder_listing(fx.spark, {"parent": f"{base}/parent", "child": f"{base}/child", "none": f"{base}/none"})
-    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("last_modified")
-    return listing.select("data_source", "folder", age.between(0, 3600).alias("recent"))
+    # The times of the files once more, as the parquet reader sees them.
+    folder = F.concat(F.element_at(F.split("_metadata.file_path", "/"), -2), F.lit("/"))
+    times = reduce(
+        DataFrame.unionByName,
+        [
+            fx.spark.read.parquet(f"{base}/{name}/*").select(F.lit(name).alias("data_source"), folder.alias("folder"), F.col("_metadata.file_modification_time").alias("t"))
+            for name in ("parent", "child")
+        ],
+    )
+    spans = times.groupBy("data_source", "folder").agg(F.min("t").alias("first"), F.max("t").alias("last"))
+    return listing.join(spans, ["data_source", "folder"], "left").select(
+        "data_source", "folder", (F.col("last_modified") == F.col("last")).alias("is_last"), (F.col("last_modified") > F.col("first")).alias("after_first")
+    )
 
 
 # -- fingerprints ---------------------------------------------------------------------------------------------------
@@ -289,16 +307,19 @@ def fingerprint_split(fx: Fixtures) -> DataFrame:
 MULTI = _spec(["rec_id", "status", "total_price"])
 
 
+def _multi_cohort(fx: Fixtures) -> DataFrame:
+    """Keys and FYs of the cohort's records, some in several FYs; many records are not in it."""
+    return fx.parent_multi.select("rec_id", "fy").distinct().join(fx.cohort_current.select("rec_id"), "rec_id", "left_semi")
+
+
 @_query("key_join_semi")
 def key_join_semi(fx: Fixtures) -> DataFrame:
-    rows = fx.parent_multi
-    return fingerprint(rows, rows.select("rec_id", "fy").distinct(), MULTI, "fy")
+    return fingerprint(fx.parent_multi, _multi_cohort(fx), MULTI, "fy")
 
 
 @_query("key_join_inner")
 def key_join_inner(fx: Fixtures) -> DataFrame:
-    rows = fx.parent_multi
-    return fingerprint(rows, rows.select("rec_id", "fy").distinct(), MULTI, "fy", fan_out=True)
+    return fingerprint(fx.parent_multi, _multi_cohort(fx), MULTI, "fy", fan_out=True)
 
 
 # -- changed keys ---------------------------------------------------------------------------------------------------
@@ -380,13 +401,22 @@ def part_counts(fx: Fixtures) -> DataFrame:
     return sized.withColumn("parts", part_count(F.col("records"), F.col("target_rows")))
 
 
+def _control_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of a control file; of the names of parts only folder and number stay, the rest differs from run to run."""
+    return spark.read.text(path).select(F.regexp_replace("value", r"(part-[0-9]+)-[^|]*\.csv\.gz", "$1").alias("line"))
+
+
 @_query("control_file")
 def control_file(fx: Fixtures) -> DataFrame:
-    path = scratch_path(fx.spark, "control")
-    numbers = F.sequence(F.lit(1).cast("long"), part_count(F.col("records"), CONTROL_TARGET))
-    files = F.transform(numbers, lambda i: F.concat("entity", F.lit("_part"), i.cast("string"), F.lit(".csv.gz")))
-    write_control(control_rows(counts(fx).withColumn("files", files), "order_date"), path)
-    return fx.spark.read.text(path).withColumnRenamed("value", "line")
+    """The control file of three outputs that have really been written in parts."""
+    base = scratch_path(fx.spark, "control")
+    entries = []
+    for name, frame in {"parent": fx.parent, "child": fx.child, "conversations": fx.table("conversations")}.items():
+        records = write_delivery(frame, f"{base}/{name}", CONTROL_TARGET)
+        files = delivered_files(fx.spark, f"{base}/{name}").agg(F.collect_list("file").alias("files"))
+        entries.append(files.withColumn("records", F.lit(records)))
+    write_control(control_rows(reduce(DataFrame.unionByName, entries), "order_date"), f"{base}/list")
+    return _control_lines(fx.spark, f"{base}/list")
 
 
 # -- snapshot -------------------------------------------------------------------------------------------------------
@@ -456,7 +486,7 @@ def fixture_dimensions(fx: Fixtures, base: str) -> tuple[Dimension, ...]:
 
 @_query("run_feed")
 def feed_second_run(fx: Fixtures) -> DataFrame:
-    """Two runs of the whole job; returns every delivered line of the second one except headers."""
+    """Two runs of the whole job; returns every delivered line of the second one except headers of outputs, and its control file."""
     base = scratch_path(fx.spark, "feed")
     feed = fixture_feed(base, fixture_dimensions(fx, base))
     sources = {
@@ -477,4 +507,5 @@ def feed_second_run(fx: Fixtures) -> DataFrame:
     for label in ("parent", "child", "parentDeletes"):
         read = fx.spark.read.text(f"{run.delivery_path}/{label}").withColumnRenamed("value", "line")
         lines.append(read.where(~F.col("line").startswith("record_id")).select(F.lit(label).alias("output"), "line"))
-    return lines[0].unionByName(lines[1]).unionByName(lines[2])
+    lines.append(_control_lines(fx.spark, f"{run.delivery_path}/{feed.name}_control").select(F.lit("control").alias("output"), "line"))
+    return reduce(DataFrame.unionByName, lines)
