@@ -162,6 +162,31 @@ def test_repeated_lines_go_once_and_every_line_stays_somewhere(spark, docs):
     assert linededup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def brute_line_dedup(rows, min_lines=2, min_words=25, long_words=50):
+    """Text of each document without the lines of passages that occur before and end there before they start here; what lines are left."""
+    first, out = {}, {}
+    for d, (i, text) in enumerate(sorted({r for r in rows if r[1] is not None})):
+        lines, gone = text.split("\n"), set()
+        for a in range(len(lines)):
+            for b in range(a, len(lines)):
+                n = sum(len(x.split()) for x in lines[a : b + 1])
+                if (b - a + 1 >= min_lines and n >= min_words) or (a == b and n >= long_words):
+                    there = first.setdefault(tuple(lines[a : b + 1]), (d, b))
+                    if there < (d, a):
+                        gone.update(range(a, b + 1))
+        out[i, text] = "\n".join(x for k, x in enumerate(lines) if k not in gone), len(gone)
+    return out
+
+
+def test_repeated_passages_go_though_their_lines_are_frequent_elsewhere(spark):
+    said = " ".join(f"p{k}" for k in range(30))
+    passage = f"{said} one\n\na common sentence\n{said} two\n\n{said} three"
+    rows = [(0, "a common sentence\n\nand something else"), (1, f"a\n{passage}\nb"), (2, f"c\n\n{passage}\nd"), (3, passage), (4, f"\n{passage}\n\n{passage}\n")]
+    found = {r.doc_id: r.text for r in linededup.dedup_lines(spark.createDataFrame(rows, EMPTY)).collect()}
+    assert found == {0: rows[0][1], 1: rows[1][1], 2: "c\n\nd", 3: "", 4: ""}
+    assert all(found[r[0]] == brute_line_dedup(rows)[r][0] for r in rows)
+
+
 def brute_links(texts):
     sets = []
     for t in texts:
