@@ -187,6 +187,24 @@ def test_repeated_passages_go_though_their_lines_are_frequent_elsewhere(spark):
     assert all(found[r[0]] == brute_line_dedup(rows)[r][0] for r in rows)
 
 
+@pytest.mark.parametrize(("n", "words"), [(2, 30), (3, 20), (5, 12), (2, 13)])
+def test_edges_of_repeated_passages_and_short_ones_go(spark, n, words):
+    passage = "\n".join(" ".join(f"w{k}x{j}" for j in range(words)) for k in range(n))
+    rows = [(d, f"before {d}\nand {d * 7}\n{passage}\nafter {d}\nend {d * 3}") for d in range(60)]
+    found = {r.doc_id: r.text for r in linededup.dedup_lines(spark.createDataFrame(rows, EMPTY)).collect()}
+    assert found == {d: t if d == 0 else f"before {d}\nand {d * 7}\nafter {d}\nend {d * 3}" for d, t in rows}
+
+
+def test_line_dedup_matches_brute_force(spark):
+    rng = np.random.default_rng(1)
+    lines = ["", "ok", "a common sentence", "\tx y\u2003z  "] + [" ".join(rng.choice(["aa", "bb\u00a0cc", "dd", "ee\tff"], rng.integers(1, 60))) for _ in range(12)]
+    rows = [(i, "\n".join(lines[k] for k in rng.integers(0, len(lines), rng.integers(1, 30)))) for i in range(120)]
+    rows += [(500, "\n".join(["five words in this line"] * 45)), (501, None), (502, ""), (502, ""), rows[3], rows[3], (None, rows[5][1] + "\nmore")]
+    right = brute_line_dedup([(-1 if i is None else i, t) for i, t in rows])
+    for r in linededup.dedup_lines(spark.createDataFrame(rows, EMPTY).withColumn("old", F.col("text"))).collect():
+        assert r.old is None and r.text is None or (r.text, r.removed_lines) == right[-1 if r.doc_id is None else r.doc_id, r.old]
+
+
 def brute_links(texts):
     sets = []
     for t in texts:
