@@ -1,6 +1,7 @@
 """Licence scans: a trained paragraph classifier, confirmed by templates; in built-in functions only.
 
-A paragraph is a line. Its features are the words and pairs of neighbouring words that it has. A multinomial logistic regression over them knows
+A paragraph is a line, or a licence wrapped over several: lines without a break (a line without words) that together have ``SIMILAR`` of the words of a template, and no more lines than the
+template can take when it starts anywhere in the first. The first line names it, and of such runs of a family the shortest count, once where they overlap. Its features are the words and pairs of neighbouring words that it has. A multinomial logistic regression over them knows
 the licence families and a class for everything else. It is trained on the templates, on their variants with a word left out, on sentences that only talk about
 licences, and on a bounded sample of the paragraphs at hand (``NEGATIVES``). The least probability that a family needs is calibrated: on held-out
 paragraphs of the last class, no more than ``FALSE_SHARE`` pass it. A prediction is confirmed if the paragraph has at least ``SIMILAR`` of the words
@@ -12,8 +13,10 @@ first, by one pattern, and only texts and lines with one are taken apart. Nothin
 
 from __future__ import annotations
 
+import functools
 import json
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -76,6 +79,11 @@ class LicenseModel:
     least: float
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    # A one-element array names what is used often, so that it is computed once.
+    return F.transform(F.array(value), body)[0]
+
+
 def words_of(paragraph: Column) -> Column:
     """Lower-cased runs of letters, digits, dots and signs inside; dots and signs at the ends do not count."""
     return F.filter(F.split(F.regexp_replace(F.lower(paragraph), r"[.+-]+(?=[^a-z0-9]|$)|(?<![a-z0-9])[.+-]+", " "), r"[^a-z0-9.+-]+"), lambda w: w != "")
@@ -101,7 +109,9 @@ def fit(docs: DataFrame, *, text: str = "text", negatives: int = NEGATIVES) -> L
     spark = docs.sparkSession
     share = max(1, docs.count() // negatives)
     value = F.col(f"`{text}`")
-    sampled = docs.where(value.isNotNull() & (F.pmod(F.xxhash64(value), F.lit(share)) == 0)).select(F.explode(F.split(value, "\n")).alias("paragraph"))
+    # Lines of a wrapped licence are no examples of the last class.
+    unlike = _let(_wrapped(value), lambda runs: F.filter(F.split(value, "\n"), lambda _, i: ~F.exists(runs, lambda r: (r["paragraph"] <= i) & (i <= r["last"]))))
+    sampled = docs.where(value.isNotNull() & (F.pmod(F.xxhash64(value), F.lit(share)) == 0)).select(F.explode(unlike).alias("paragraph"))
     known = F.greatest(*[_likeness(F.col("words"), t) for texts in TEMPLATES.values() for t in texts])
     others = (
         sampled.distinct()
@@ -136,10 +146,14 @@ def fit(docs: DataFrame, *, text: str = "text", negatives: int = NEGATIVES) -> L
     return LicenseModel(classes, intercepts, weights, max(0.5, least))
 
 
-def _split_words(template: str) -> list[str]:
+def _all_words(template: str) -> list[str]:
     """The words of a template, as ``words_of`` has them."""
     kept = "".join(c if c.isascii() and (c.isalnum() or c in ".+-") else " " for c in template.lower())
-    return list(dict.fromkeys(w.strip(".+-") for w in kept.split() if w.strip(".+-")))
+    return [w.strip(".+-") for w in kept.split() if w.strip(".+-")]
+
+
+def _split_words(template: str) -> list[str]:
+    return list(dict.fromkeys(_all_words(template)))
 
 
 def _likeness(words: Column, template: str) -> Column:
@@ -158,6 +172,33 @@ def cue_words() -> list[str]:
     return sorted(cues)
 
 
+def _fits(inner: Column, template: str) -> Column:
+    """Whether a template that starts in the first line of a run, which has ``inner`` words between its first and last line, can reach the last."""
+    return inner < len(_all_words(template)) - 1
+
+
+def _wrapped(value: Column) -> Column:
+    """Runs of two or more lines that are like a template: first line ``paragraph``, ``last`` line, ``inner`` words between them, ``words``."""
+    longest = max(len(_all_words(t)) for texts in TEMPLATES.values() for t in texts)
+    cues = F.lit(cue_words())
+
+    def from_line(w: Column, cued: Column, i: Column) -> Column:
+        ends = F.transform(F.slice(w, i + 2, F.lit(longest)), lambda _, k: i + 1 + k)
+        runs = F.transform(ends, lambda e: F.struct(i.alias("paragraph"), e.alias("last"), F.size(F.flatten(F.slice(w, i + 2, e - i - 1))).alias("inner")))
+        whole = F.filter(runs, lambda r: (r["inner"] < longest - 1) & F.forall(F.slice(w, i + 1, r["last"] - i + 1), lambda x: F.size(x) > 0))
+        return F.when(F.array_contains(F.slice(cued, i + 1, F.lit(longest + 1)), True), whole).otherwise(F.slice(whole, 1, 0))
+
+    def like(r: Column) -> Column:
+        ways = [_fits(r["inner"], t) & (_likeness(r["words"], t) >= SIMILAR) for texts in TEMPLATES.values() for t in texts]
+        return F.arrays_overlap(r["words"], cues) & functools.reduce(lambda a, b: a | b, ways)
+
+    def all_runs(w: Column) -> Column:
+        runs = _let(F.transform(w, lambda x: F.arrays_overlap(x, cues)), lambda cued: F.flatten(F.transform(w, lambda _, i: from_line(w, cued, i))))
+        return F.filter(F.transform(runs, lambda r: r.withField("words", F.flatten(F.slice(w, r["paragraph"] + 1, r["last"] - r["paragraph"] + 1)))), like)
+
+    return _let(F.transform(F.split(value, "\n"), words_of), all_runs)
+
+
 def _probabilities(model: LicenseModel, words: Column) -> Column:
     grams = list(model.weights)
     # Constants as JSON: one literal instead of thousands of expressions.
@@ -173,7 +214,7 @@ def _probabilities(model: LicenseModel, words: Column) -> Column:
 def scan(docs: DataFrame, model: LicenseModel, *, text: str = "text") -> DataFrame:
     """``docs`` with ``n_paragraphs``, ``licenses`` (paragraph from 0, family, probability, likeness, confirmed) and ``families`` (confirmed, sorted).
 
-    ``licenses`` holds each paragraph with a cue word whose family is not the last class and at least as probable as calibrated. Null and empty texts have no paragraphs. Rows are
+    ``licenses`` holds each line with a cue word whose family is not the last class and at least as probable as calibrated, and confirmed wrapped licences, by their first line; ``n_paragraphs`` counts lines. Null and empty texts have no paragraphs. Rows are
     neither dropped nor merged, and columns of ``docs`` with the names of results are replaced.
     """
     value = F.col(f"`{text}`")
@@ -181,25 +222,45 @@ def scan(docs: DataFrame, model: LicenseModel, *, text: str = "text") -> DataFra
     cue = value.rlike(pattern)
     lines = F.transform(F.split(value, "\n"), lambda p, i: F.struct(i.alias("paragraph"), p.alias("line")))
     near = F.filter(lines, lambda s: s["line"].rlike(pattern))
-    taken = F.transform(near, lambda s: F.struct(s["paragraph"].alias("paragraph"), words_of(s["line"]).alias("words")))
-    rated = F.transform(taken, lambda s: F.struct(s["paragraph"].alias("paragraph"), s["words"].alias("words"), _probabilities(model, s["words"]).alias("p")))
+    # A single line has no words between its first and last one, and any template fits it.
+    single = F.transform(near, lambda s: F.struct(s["paragraph"].alias("paragraph"), s["paragraph"].alias("last"), F.lit(-1).alias("inner"), words_of(s["line"]).alias("words")))
+    taken = F.concat(single, _wrapped(value))
+    rated = F.transform(taken, lambda s: s.withField("p", _probabilities(model, s["words"])))
     classes = F.lit(list(model.classes))
 
     def best(s: Column) -> Column:
         top = F.array_max(s["p"])
-        return F.struct(s["paragraph"].alias("paragraph"), s["words"].alias("words"), F.element_at(classes, F.array_position(s["p"], top).cast("int")).alias("family"), top.alias("probability"))
+        return F.struct(s["paragraph"].alias("paragraph"), s["last"].alias("last"), s["inner"].alias("inner"), s["words"].alias("words"), F.element_at(classes, F.array_position(s["p"], top).cast("int")).alias("family"), top.alias("probability"))
 
     sure = F.filter(F.transform(rated, best), lambda s: (s["family"] != UNKNOWN) & (s["probability"] >= model.least))
 
     def confirmed(s: Column) -> Column:
-        like = F.greatest(*[F.when(s["family"] == c, _likeness(s["words"], t)).otherwise(0.0) for c, texts in TEMPLATES.items() for t in texts])
-        return F.struct(s["paragraph"], s["family"], F.round(s["probability"], 6).alias("probability"), F.round(like, 6).alias("likeness"), (like >= SIMILAR).alias("confirmed"))
+        like = F.greatest(*[F.when((s["family"] == c) & _fits(s["inner"], t), _likeness(s["words"], t)).otherwise(0.0) for c, texts in TEMPLATES.items() for t in texts])
+        return F.struct(s["paragraph"].alias("paragraph"), s["last"].alias("last"), s["family"].alias("family"), F.round(s["probability"], 6).alias("probability"), F.round(like, 6).alias("likeness"), (like >= SIMILAR).alias("confirmed"))
+
+    def shortest(found: Column) -> Column:
+        # Confirmed runs that hold no other of their family; lines stay as they are.
+        def holds(s: Column, o: Column) -> Column:
+            return o["confirmed"] & (o["family"] == s["family"]) & (o["paragraph"] >= s["paragraph"]) & (o["last"] <= s["last"]) & ((o["paragraph"] > s["paragraph"]) | (o["last"] < s["last"]))
+
+        return F.filter(found, lambda s: (s["paragraph"] == s["last"]) | (s["confirmed"] & ~F.exists(found, lambda o: holds(s, o))))
+
+    def once(found: Column) -> Column:
+        def met(s: Column, o: Column) -> Column:
+            return o["confirmed"] & (o["family"] == s["family"]) & (o["last"] >= s["paragraph"]) & (o["paragraph"] <= s["last"])
+
+        # One-line ones first: a run that meets one of its family, or an earlier run, is the same licence.
+        ordered = F.concat(F.filter(found, lambda s: s["paragraph"] == s["last"]), F.filter(found, lambda s: s["paragraph"] < s["last"]))
+        return F.array_sort(F.aggregate(ordered, F.slice(found, 1, 0), lambda acc, s: F.when((s["paragraph"] < s["last"]) & F.exists(acc, lambda o: met(s, o)), acc).otherwise(F.concat(acc, F.array(s)))))
+
+    def listed(found: Column) -> Column:
+        return F.transform(found, lambda s: F.struct(s["paragraph"].alias("paragraph"), s["family"].alias("family"), s["probability"].alias("probability"), s["likeness"].alias("likeness"), s["confirmed"].alias("confirmed")))
 
     kind = "array<struct<paragraph:int,family:string,probability:double,likeness:double,confirmed:boolean>>"
     out = docs.withColumns(
         {
             "n_paragraphs": F.when(value.isNull() | (value == ""), 0).otherwise(F.size(F.split(value, "\n"))),
-            "licenses": F.when(cue, F.transform(sure, confirmed).cast(kind)).otherwise(F.array().cast(kind)),
+            "licenses": F.when(cue, listed(_let(_let(F.transform(sure, confirmed), shortest), once)).cast(kind)).otherwise(F.array().cast(kind)),
         }
     )
     return out.withColumn("families", F.array_sort(F.array_distinct(F.transform(F.filter("licenses", lambda s: s["confirmed"]), lambda s: s["family"]))))

@@ -314,5 +314,15 @@ def test_licences(spark, docs):
     assert license.scan(frame.limit(0), model).count() == 0
 
 
+def test_licences_wrapped_over_lines(spark, docs):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files, to deal in the Software\nwithout restriction."
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3."
+    rows = [(1, f"Title\n\n{mit}\n\nmore"), (2, f"Some words go before it\n{bsd}\nand after"), (3, gpl), (4, mit.replace("\n", "\n\n")), (5, f"{mit}\n\n{gpl}\n\n{mit}")]
+    found = {r.doc_id: r for r in license.scan(spark.createDataFrame(rows, EMPTY), license.fit(docs)).collect()}
+    assert [found[k].families for k in range(1, 6)] == [["mit"], ["bsd-3-clause"], ["gpl-3.0"], [], ["gpl-3.0", "mit"]]
+    assert [[x.paragraph for x in found[k].licenses if x.confirmed] for k in (1, 2, 3, 5)] == [[2], [1], [0], [0, 4, 8]]
+
+
 def test_digest_of_items():
     assert decontaminate.items_digest(["10", "9"]) == hashlib.sha256(b"10,9").hexdigest()
