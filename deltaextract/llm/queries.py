@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deltaextract.llm import ann, bpe, decontaminate, jaccard, language, license, linededup, lm, reshard, toxicity
+from deltaextract.llm import ann, bpe, byte_bpe, decontaminate, filteraudit, jaccard, language, license, linededup, lm, resample, reshard, toxicity
 from deltaextract.llm.common import fold_of, table
 
 OLD_SHARDS, SHARDS = 32, 40
@@ -80,6 +80,25 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = byte_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN)
+    decode = byte_bpe.decoder(spark, ranks)
+    return out.select("doc_id", byte_bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(decode(F.col("ids")), 256).alias("decoded_sha256"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = resample.importance(docs, table(spark, sf_dir, "benchmark").select("text"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return filteraudit.audit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
@@ -92,4 +111,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": op8_line_dedup,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_lm_scoring": op10_lm_scoring,
+        "op11_byte_bpe": op11_byte_bpe,
+        "op12_resampling": op12_resampling,
+        "op13_filter_audit": op13_filter_audit,
     }
