@@ -34,17 +34,12 @@ def row_hash(columns: Sequence[Column], encoding: str = "joined") -> Column:
     return F.sha2(F.concat_ws(SEPARATOR, *columns), 256)
 
 
-def row_digest(columns: Sequence[Column], encoding: str = "joined") -> Column:
-    """:func:`row_hash` as 32 raw bytes: half the width of the hex text in a shuffle, same sort order."""
-    return F.unhex(row_hash(columns, encoding))
+def group_digest(hashes: Column) -> Column:
+    """Aggregate: hex SHA-256 of a group's row hashes (hex, as :func:`row_hash` gives them), whatever their order, counting duplicates.
 
-
-def group_digest(digest: Column) -> Column:
-    """Aggregate: hex SHA-256 of a group's row digests, whatever their order, counting duplicates.
-
-    The digests' first 240 bits, as four numbers of 60 bits, are summed over the group, and the sums and the number of rows are hashed. Sums
+    The hashes' first 240 bits, as four numbers of 60 bits, are summed over the group, and the sums and the number of rows are hashed. Sums
     combine before a shuffle and take the same few bytes for a group of any size. They are exact: decimals of 30 digits hold those of
     10^12 rows.
     """
-    words = [F.conv(F.substring(F.hex(digest), 1 + 15 * k, 15), 16, 10).cast("decimal(20,0)") for k in range(4)]
+    words = [F.conv(F.substring(hashes, 1 + 15 * k, 15), 16, 10).cast("decimal(20,0)") for k in range(4)]
     return F.sha2(F.concat_ws(SEPARATOR, *[F.sum(w).cast("string") for w in words], F.count(F.lit(1)).cast("string")), 256)

@@ -21,3 +21,9 @@ def folder_to_fy(folder: Column) -> Column:
 def folder_year(folder: Column) -> Column:
     """First calendar year of a period folder as int; null for any other text."""
     return F.regexp_replace(folder, PERIOD_FOLDER, "$1").try_cast("int")
+
+
+def path_to_period(path: Column) -> Column:
+    """Financial year of the period folder that a file's path goes through; null if it goes through none."""
+    folder = F.regexp_extract(path, PERIOD_FOLDER.replace("^", "^.*/(").replace("/$", "/)"), 1)
+    return F.when(is_period_folder(folder), folder_to_fy(folder))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deltaextract.config import EntitySpec
@@ -36,6 +36,16 @@ class CohortLists:
         return cls(tuple(pairs), are_small([orgs for orgs, _ in pairs], broadcast_bytes))
 
 
+def in_lists(rows: DataFrame, lists: CohortLists) -> tuple[DataFrame, Column]:
+    """Rows joined to the lists (each adds a column of its own, and no row), and whether a row is in any of them. Lists measured as small are broadcast."""
+    hits = []
+    for i, (orgs, column) in enumerate(lists.pairs):
+        codes = orgs.where("org_code IS NOT NULL").withColumnRenamed("org_code", f"__org{i}")
+        rows = rows.join(F.broadcast(codes) if lists.small else codes, F.col(column) == F.col(f"__org{i}"), "left")
+        hits.append(F.col(f"__org{i}").isNotNull())
+    return rows, reduce(lambda a, b: a | b, hits, F.lit(False))
+
+
 def cohort_keys(parent: DataFrame, lists: CohortLists, spec: EntitySpec, fy: str) -> DataFrame:
     """Distinct (keys, FY) of parent rows matched by any of the organisation lists.
 
@@ -47,12 +57,8 @@ def cohort_keys(parent: DataFrame, lists: CohortLists, spec: EntitySpec, fy: str
     key_fy = [*spec.keys, fy]
 
     if lists.small:
-        matched, hits = rows, []
-        for i, (orgs, column) in enumerate(lists.pairs):
-            codes = orgs.where("org_code IS NOT NULL").withColumnRenamed("org_code", f"__org{i}")
-            matched = matched.join(F.broadcast(codes), F.col(column) == F.col(f"__org{i}"), "left")
-            hits.append(F.col(f"__org{i}").isNotNull())
-        return matched.where(reduce(lambda a, b: a | b, hits)).select(*key_fy).distinct()
+        matched, hit = in_lists(rows, lists)
+        return matched.where(hit).select(*key_fy).distinct()
 
     parts = [
         rows.join(orgs, F.col(column) == F.col("org_code"), "left_semi").select(*key_fy) for orgs, column in lists.pairs

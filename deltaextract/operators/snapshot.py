@@ -11,12 +11,12 @@ from pyspark.sql import types as T
 from deltaextract.operators.changes import outside_periods
 
 
-def snapshot_schema(key_fields: Sequence[T.StructField], fy: str) -> T.StructType:
-    """Keys as typed in the source, then FY, hash and row count."""
+def snapshot_schema(key_fields: Sequence[T.StructField], fy: str, scope: Sequence[str] = ()) -> T.StructType:
+    """Keys as typed in the source, then FY, what else fingerprints are grouped by, hash and row count."""
     return T.StructType(
         [
             *key_fields,
-            T.StructField(fy, T.StringType()),
+            *[T.StructField(name, T.StringType()) for name in (fy, *scope)],
             T.StructField("hash", T.StringType()),
             T.StructField("hash_count", T.LongType()),
         ]

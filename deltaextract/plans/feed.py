@@ -20,22 +20,25 @@ from deltaextract.operators.changes import (
     changed_periods,
     entity_folders,
     in_periods,
+    vanished_periods,
 )
 from deltaextract.operators.cohort import CohortLists, cohort_keys, org_filter
 from deltaextract.operators.control import control_rows
 from deltaextract.operators.extract import extract_delta, live_keys
-from deltaextract.operators.fingerprint import fingerprint
+from deltaextract.operators.fingerprint import cohort_fingerprint, fingerprint
+from deltaextract.operators.keyfilter import KeyFilter
+from deltaextract.operators.sizing import BROADCAST_BYTES, are_small
 from deltaextract.operators.snapshot import merge_snapshot, snapshot_schema
 from deltaextract.plans.concurrent import side_by_side
 from deltaextract.sources.delivery import ENCODING, charset_allowed, delivered_files, write_control, write_delivery
 from deltaextract.sources.folders import FOLDER_STATE, folder_listing, read_folder_state, write_folder_state
-from deltaextract.sources.runs import completed_runs, read_snapshot, record_run
-from deltaextract.sources.tables import period_schema, read_periods, write_by_period
+from deltaextract.sources.runs import completed_runs, read_fingerprints, read_snapshot, record_run, write_fingerprints
+from deltaextract.sources.tables import READ_PERIOD, period_schema, read_periods
 
 log = logging.getLogger(__name__)
 
-#: Name of the group digest, stored with every run: hashes of another one cannot be compared.
-DIGEST = "sums of 60-bit words"
+#: Name of the group digest and of what is grouped, stored with every run: hashes of another one cannot be compared.
+DIGEST = "sums of 60-bit words, by folder read"
 
 _A = TypeVar("_A")
 _B = TypeVar("_B")
@@ -69,6 +72,10 @@ def run_feed(
     hash_encoding: str = "joined",
     rehash: bool = False,
     detect_vanished: bool = False,
+    retire_folders: bool = False,
+    one_pass: bool = False,
+    key_filter_bytes: int = BROADCAST_BYTES,
+    snapshot_buckets: int = 0,
     encoding: str = ENCODING,
     full_snapshot_every: int = 30,
     concurrency: int = 4,
@@ -80,11 +87,26 @@ def run_feed(
     Nothing in ``state`` counts until the run's last step. Entities of a step are independent, so up to ``concurrency``
     of their jobs are submitted side by side.
 
+    State is kept by the folder that rows were read from, so rows without an FY, or filed under another FY than their folder's, are compared with what
+    the same folder held before, and go when they are gone from it.
+
+    A period folder that has disappeared is left alone, and its keys stay alive, unless ``retire_folders``: then it counts as read and empty, so its keys leave the list
+    of live keys (unless another folder holds them). If it disappeared for one entity only, the others are read again.
+
+    ``one_pass`` reads each parent once for cohort and fingerprints, hashing all its rows; it pays where the cohort is most of the parent. Otherwise the cohort is
+    found first. A cohort of more than ``key_filter_bytes`` is not broadcast, and a filter of its keys (see ``operators.keyfilter``) keeps most other rows from being hashed.
+
+    With ``snapshot_buckets`` fingerprints are stored in so many buckets by key instead of by period, and the comparison with the snapshot shuffles neither the snapshot nor the current fingerprints. Size a
+    bucket like a shuffled partition. Runs may differ in it; the comparison then shuffles as usual until all visible runs agree.
+
+    Of two runs of a feed that overlap, the first to complete counts; the other raises :class:`deltaextract.sources.runs.Overtaken` at its end, and what it has
+    written is never read.
+
     A snapshot that was built with other hash settings, or by a release with another digest, is refused. With ``rehash`` such a run starts
     over instead: it reads all periods, delivers every record of the cohort, and writes a full snapshot.
     """
     run_id = run_id or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    run = _Run(spark, feed, salt, run_id, hash_encoding, rehash)
+    run = _Run(spark, feed, salt, run_id, hash_encoding, rehash, retire_folders, snapshot_buckets)
     if not run.find_changes():
         log.info("%s: no changed periods", feed.name)
         return FeedRun(run.run_id, ())
@@ -95,8 +117,8 @@ def run_feed(
             return side_by_side([partial(step, item) for item in items], concurrency)
 
         run.read_lists()
-        each(run.store_cohort, run.families)
-        each(lambda member: run.store_fingerprints(*member), run.members)
+        each(lambda family: run.store_cohort(family, one_pass, key_filter_bytes), run.families)
+        each(lambda member: run.store_fingerprints(*member), [m for m in run.members if not (one_pass and m[1] is m[0].parent)])
         each(lambda family: run.store_changed_keys(family, detect_vanished), run.families)
         if run.is_full(full_snapshot_every) and run.earlier:
             each(lambda member: run.carry_over(member[1]), run.members)
@@ -112,9 +134,10 @@ class _Run:
     """Paths and step functions of one run; every step reads and writes tables."""
 
     def __init__(
-        self, spark: SparkSession, feed: FeedSpec, salt: str | None, run_id: str, hash_encoding: str, rehash: bool
+        self, spark: SparkSession, feed: FeedSpec, salt: str | None, run_id: str, hash_encoding: str, rehash: bool, retire_folders: bool, buckets: int
     ):
         self.spark, self.feed, self.salt, self.run_id = spark, feed, salt, run_id
+        self.retire_folders, self.buckets = retire_folders, buckets
         self.fy = feed.fy_column
         root = feed.output_path.rstrip("/")
         self.state, self.work, self.delivery = f"{root}/state", f"{root}/work/{run_id}", f"{root}/delivery/{run_id}"
@@ -138,6 +161,7 @@ class _Run:
         self.members: list[tuple[FamilySpec, EntitySpec]] = []
         self._sources: dict[str, DataFrame] = {}
         self._folders: dict[str, str] = {}
+        self._key_filters: dict[str, KeyFilter] = {}
         self._is_full = False
 
     # -- which periods ------------------------------------------------------------------------------------------
@@ -155,7 +179,9 @@ class _Run:
 
         # Driver-side lists of folders: a few per calendar year and entity.
         periods = changed_periods(listing, previous, self.feed.fy_floor)
-        self.fys = [p.fy for p in periods.collect()]
+        if self.retire_folders:
+            periods = periods.union(vanished_periods(listing, previous, self.feed.fy_floor).select("folder", "fy", "first_year")).distinct()
+        self.fys = sorted(p.fy for p in periods.collect())
         if not self.fys:
             return False
         changed = entity_folders(listing, periods).collect()
@@ -179,8 +205,8 @@ class _Run:
 
         if paths(existing):
             # Without a changed folder there are no rows to read, but the columns are those of the latest folder.
-            schema = period_schema(self.spark, paths(changed) or paths(existing)[-1:])
-            self._sources[entity.name] = read_periods(self.spark, paths(changed), schema)
+            schema = None if paths(changed) else period_schema(self.spark, paths(existing)[-1:])
+            self._sources[entity.name] = read_periods(self.spark, paths(changed), schema, with_period=True)
             return entity
         if entity.name in known:
             raise ValueError(f"{entity.name}: all folders below {entity.base_path} are gone since the last run")
@@ -190,7 +216,7 @@ class _Run:
             [*entity.keys, self.fy, *(c.source for c in entity.columns), *(d.fact_column for d in self.feed.dimensions)]
         )
         fields = [T.StructField(n, key_types.get(n, T.StringType()) if n in entity.keys else T.StringType()) for n in names]
-        self._sources[entity.name] = read_periods(self.spark, [], T.StructType(fields))
+        self._sources[entity.name] = read_periods(self.spark, [], T.StructType(fields), with_period=True)
         return replace(entity, filter=None, transform={})
 
     # -- which records ------------------------------------------------------------------------------------------
@@ -204,9 +230,23 @@ class _Run:
             pairs.append((self.spark.read.schema(codes.schema).parquet(path), d.fact_column))
         self.lists = CohortLists.measure(pairs)
 
-    def store_cohort(self, family: FamilySpec) -> None:
-        keys = cohort_keys(self._sources[family.parent.name], self.lists, family.parent, self.fy)
+    def store_cohort(self, family: FamilySpec, one_pass: bool, key_filter_bytes: int) -> None:
+        parent, source = family.parent, self._sources[family.parent.name]
+        key_fy = [*parent.keys, self.fy]
+        if one_pass:
+            found = cohort_fingerprint(source, self.lists, parent, self.fy, encoding=self.hashing["hash_encoding"], scope=[READ_PERIOD])
+            # Its flag is stored beside the fingerprints, where nobody else reads it.
+            write_fingerprints(found, self._fingerprints(parent), parent.keys, READ_PERIOD, self.buckets)
+            keys = read_fingerprints(self.spark, self._fingerprints(parent), found.schema, parent.keys, self.buckets).where("matched").select(*key_fy).distinct()
+        else:
+            keys = cohort_keys(source, self.lists, parent, self.fy)
         keys.write.mode("overwrite").parquet(self._cohort(family))
+        cohort = self.spark.read.schema(keys.schema).parquet(self._cohort(family))
+        if not are_small([cohort], key_filter_bytes):
+            made = KeyFilter.of(cohort, parent.keys)
+            path = f"{self.work}/{parent.name}_key_filter"
+            made.bitmaps.write.mode("overwrite").parquet(path)
+            self._key_filters[parent.name] = replace(made, bitmaps=self.spark.read.schema(made.bitmaps.schema).parquet(path))
 
     def store_fingerprints(self, family: FamilySpec, entity: EntitySpec) -> None:
         cohort = self.spark.read.parquet(self._cohort(family))
@@ -216,13 +256,15 @@ class _Run:
             entity,
             self.fy,
             encoding=self.hashing["hash_encoding"],
+            scope=[READ_PERIOD],
+            key_filter=self._key_filters.get(family.parent.name),
         )
-        write_by_period(current, self._fingerprints(entity), self.fy)
+        write_fingerprints(current, self._fingerprints(entity), entity.keys, READ_PERIOD, self.buckets)
 
     def store_changed_keys(self, family: FamilySpec, detect_vanished: bool) -> None:
-        pairs = [(self._current(e), in_periods(self._previous(e), self.fys, self.fy)) for e in family]
+        pairs = [(self._current(e), in_periods(self._previous(e), self.fys, READ_PERIOD)) for e in family]
         cohort = self.spark.read.parquet(self._cohort(family))
-        keys = changed_keys(pairs, family.parent.keys, detect_vanished=detect_vanished, cohort=cohort)
+        keys = changed_keys(pairs, family.parent.keys, detect_vanished=detect_vanished, cohort=cohort, in_place=self.buckets > 0)
         # What is extracted is in the cohort now, whatever made it look changed.
         keys = keys.join(cohort.select(*family.parent.keys), list(family.parent.keys), "left_semi")
         keys.write.mode("overwrite").parquet(self._changed(family))
@@ -238,7 +280,7 @@ class _Run:
         runs = [*self.earlier, self._record()]
         if self._is_full:
             runs = runs[-1:]
-        snapshot = read_snapshot(self.spark, self._snapshot(parent), self._schema(parent), self.fy, runs)
+        snapshot = read_snapshot(self.spark, self._snapshot(parent), self._schema(parent), parent.keys, READ_PERIOD, runs)
         keys = live_keys(snapshot, parent, self.salt)
         return f"{parent.name}Deletes", self._deliver(keys, f"{parent.name}Deletes", live_key_label(parent.name), encoding)
 
@@ -271,24 +313,24 @@ class _Run:
         return self._is_full
 
     def carry_over(self, entity: EntitySpec) -> None:
-        kept = merge_snapshot(self._current(entity).limit(0), self._previous(entity), self.fys, self.fy)
-        write_by_period(kept, self._fingerprints(entity), self.fy, mode="append")
+        kept = merge_snapshot(self._current(entity).limit(0), self._previous(entity), self.fys, READ_PERIOD)
+        write_fingerprints(kept, self._fingerprints(entity), entity.keys, READ_PERIOD, self.buckets, mode="append")
 
     def complete(self) -> None:
         record_run(self.spark, f"{self.state}/runs", self._record())
 
     def _record(self) -> Row:
-        return Row(seq=self.seq, run_id=self.run_id, fys=self.fys, full=self._is_full, **self.hashing)
+        return Row(seq=self.seq, run_id=self.run_id, fys=self.fys, full=self._is_full, **self.hashing, buckets=self.buckets)
 
     def _schema(self, entity: EntitySpec) -> T.StructType:
         source = self._sources[entity.name].schema
-        return snapshot_schema([source[k] for k in entity.keys], self.fy)
+        return snapshot_schema([source[k] for k in entity.keys], self.fy, [READ_PERIOD])
 
     def _current(self, entity: EntitySpec) -> DataFrame:
-        return self.spark.read.schema(self._schema(entity)).parquet(self._fingerprints(entity))
+        return read_fingerprints(self.spark, self._fingerprints(entity), self._schema(entity), entity.keys, self.buckets)
 
     def _previous(self, entity: EntitySpec) -> DataFrame:
-        return read_snapshot(self.spark, self._snapshot(entity), self._schema(entity), self.fy, self.earlier)
+        return read_snapshot(self.spark, self._snapshot(entity), self._schema(entity), entity.keys, READ_PERIOD, self.earlier)
 
     def _folder_state(self, run_id: str) -> str:
         return f"{self.state}/folders/{run_id}"

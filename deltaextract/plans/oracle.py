@@ -31,6 +31,25 @@ def _fingerprints(source: str, cohort: str, row: str) -> str:
         WHERE EXISTS (SELECT 1 FROM {cohort} k WHERE k.rec_id = t.rec_id) GROUP BY rec_id, fy"""
 
 
+def _by_folder(source: str, cohort: str, row: str) -> str:
+    return f"""
+        SELECT rec_id, fy, source_period, {_group_hash(row)} AS hash, count(*) AS hash_count FROM {source} t
+        WHERE EXISTS (SELECT 1 FROM {cohort} k WHERE k.rec_id = t.rec_id) GROUP BY rec_id, fy, source_period"""
+
+
+def _unfiled(source: str) -> str:
+    return f"""
+        SELECT * REPLACE (CASE WHEN rec_id % 11 = 0 THEN NULL WHEN rec_id % 13 = 0 THEN '1990/91' ELSE fy END AS fy), fy AS source_period FROM {source}"""
+
+
+def _changed_by_folder(current: str, previous: str) -> str:
+    return f"""
+        SELECT c.rec_id FROM {current} c
+        WHERE c.source_period IN (SELECT fy FROM changed_periods)
+              AND NOT EXISTS (SELECT 1 FROM {previous} p
+                              WHERE p.source_period IN (SELECT fy FROM changed_periods) AND p.rec_id = c.rec_id AND p.hash = c.hash)"""
+
+
 def _cohort(parent: str) -> str:
     return f"""
         SELECT DISTINCT e.rec_id, e.fy FROM {parent} e
@@ -128,6 +147,27 @@ _STEPS: dict[str, str] = {
     "hash_child_vanished": _fingerprints("(SELECT * FROM fx_child_cur WHERE rec_id % 31 <> 0)", "cohort_left", _CHILD_ROW),
     "changed_parent_left": _changed("hash_parent_left", "hash_parent_prev"),
     "changed_child_vanished": _changed("hash_child_vanished", "hash_child_prev"),
+    # Rows without an FY, or with another than their folder's.
+    "parent_unfiled": _unfiled("fx_parent_cur"),
+    "child_unfiled": _unfiled("fx_child_cur"),
+    "parent_unfiled_prev": _unfiled("fx_parent_prev"),
+    "child_unfiled_prev": _unfiled("fx_child_prev"),
+    "folder_parent_cur": _by_folder("parent_unfiled", "cohort_in_changed", _PARENT_ROW),
+    "folder_child_cur": _by_folder("child_unfiled", "cohort_in_changed", _CHILD_ROW),
+    "folder_parent_prev": _by_folder("parent_unfiled_prev", "cohort_keys_prev", _PARENT_ROW),
+    "folder_child_prev": _by_folder("child_unfiled_prev", "cohort_keys_prev", _CHILD_ROW),
+    "feed_lines": """
+        SELECT 'parent' AS output, concat(record_id, '|', provider_code, '|', gp_pseudonym, '|', practice_pseudonym, '|', status,
+               '|', total_price, '|', ordered_on, '|', priority) AS line FROM delta_parent
+        UNION ALL
+        SELECT 'child', concat(record_id, '|', line_no, '|', part_ref, '|', quantity, '|', price, '|', coalesce(return_flag, ''),
+               '|', shipped_on) FROM delta_child
+        UNION ALL SELECT 'parentDeletes', record_id FROM live_keys""",
+    "family_prev": """
+        SELECT 0 AS member, rec_id, hash FROM hash_parent_prev WHERE fy IN (SELECT fy FROM changed_periods)
+        UNION ALL SELECT 1, rec_id, hash FROM hash_child_prev WHERE fy IN (SELECT fy FROM changed_periods)""",
+    "family_left": """
+        SELECT 0 AS member, rec_id, hash FROM hash_parent_left UNION ALL SELECT 1, rec_id, hash FROM hash_child_vanished""",
 }
 
 _QUERIES: dict[str, str] = {
@@ -173,6 +213,15 @@ _QUERIES: dict[str, str] = {
     "folder_mod_times": "SELECT data_source, folder, true AS is_last, true AS after_first FROM fx_folders_cur",
     "fingerprint_parent": "SELECT * FROM hash_parent_cur",
     "fingerprint_child": "SELECT * FROM hash_child_cur",
+    "fingerprint_filtered": "SELECT * FROM hash_child_cur",
+    "fingerprint_one_pass": f"""
+        SELECT rec_id, fy, {_group_hash(_PARENT_ROW)} AS hash, count(*) AS hash_count, true AS matched FROM fx_parent_cur t
+        WHERE EXISTS (SELECT 1 FROM cohort_in_changed k WHERE k.rec_id = t.rec_id) GROUP BY rec_id, fy""",
+    "fingerprint_one_pass_fan": f"""
+        SELECT rec_id, fy, {_group_hash(_PARENT_ROW)} AS hash, count(*) AS hash_count, bool_or(here) AS matched
+        FROM (SELECT *, EXISTS (SELECT 1 FROM cohort_keys k WHERE k.rec_id = t.rec_id) AS here FROM fx_parent_cur t
+              UNION ALL SELECT * REPLACE ('2000/01' AS fy, 'none' AS provider_code, 'none' AS gp_code), false FROM fx_parent_cur WHERE rec_id % 3 = 0) t
+        WHERE EXISTS (SELECT 1 FROM cohort_keys k WHERE k.rec_id = t.rec_id) GROUP BY rec_id, fy""",
     "fingerprint_split": f"""
         SELECT rec_id % 3 AS rec_id, fy, {_group_hash(_CHILD_ROW)} AS hash, count(*) AS hash_count FROM fx_child_cur GROUP BY rec_id % 3, fy""",
     "key_join_semi": f"""
@@ -186,6 +235,7 @@ _QUERIES: dict[str, str] = {
     "changed_parent": "SELECT * FROM changed_parent",
     "changed_child": "SELECT * FROM changed_child",
     "changed_keys": "SELECT * FROM changed_keys",
+    "changed_keys_from_buckets": "SELECT * FROM changed_keys",
     "changed_keys_vanished": """
         SELECT rec_id FROM changed_parent_left UNION SELECT rec_id FROM changed_child_vanished
         UNION SELECT rec_id FROM hash_child_prev p WHERE p.fy IN (SELECT fy FROM changed_periods)
@@ -217,16 +267,42 @@ _QUERIES: dict[str, str] = {
     "merge_snapshot_child": "SELECT * FROM merge_snapshot_child",
     "live_keys": "SELECT * FROM live_keys",
     "run_feed": """
-        SELECT 'parent' AS output, concat(record_id, '|', provider_code, '|', gp_pseudonym, '|', practice_pseudonym, '|', status,
-               '|', total_price, '|', ordered_on, '|', priority) AS line FROM delta_parent
-        UNION ALL
-        SELECT 'child', concat(record_id, '|', line_no, '|', part_ref, '|', quantity, '|', price, '|', coalesce(return_flag, ''),
-               '|', shipped_on) FROM delta_child
-        UNION ALL SELECT 'parentDeletes', record_id FROM live_keys
+        SELECT output, line FROM feed_lines
         UNION ALL SELECT 'control', 'cExtractFileName|~|nRecordCount|~|cDatum|~|dPeriodStart|~|dPeriodEnd'
         UNION ALL SELECT 'control', name || '/part-00000|~|' || cast(records AS varchar) || '|~|order_date|~|1970-04-01 00:00:00|~|2999-01-01 00:00:00'
         FROM (SELECT 'parent' AS name, count(*) AS records FROM delta_parent UNION ALL SELECT 'child', count(*) FROM delta_child
               UNION ALL SELECT 'parentDeletes', count(*) FROM live_keys)""",
+    # A row's FY matters to nothing that is delivered, and what was delivered once is not delivered again.
+    "run_feed_without_fy": """
+        SELECT output, line FROM feed_lines UNION ALL SELECT 'again_parentDeletes', record_id FROM live_keys""",
+    # The remaining folders hold the same rows as before.
+    "run_feed_retired_folder": f"""
+        SELECT DISTINCT 'parentDeletes' AS output, {_pseudonym("rec_id")} AS line FROM hash_parent_prev
+        WHERE fy > (SELECT min(fy) FROM fx_parent_prev)""",
+    "vanished_periods": r"""
+        SELECT data_source, folder, regexp_replace(folder, '^FY([0-9]{4})-([0-9]{2})/$', '\1/\2') AS fy, cast(substring(folder, 3, 4) AS integer) AS first_year
+        FROM fx_folders_cur
+        WHERE CASE data_source WHEN 'parent' THEN cast(substring(folder, 3, 4) AS integer) % 2 = 0 ELSE substring(folder, 3, 4) IN ('1996', '1997') END
+              AND cast(substring(folder, 3, 4) AS integer) >= 1995""",
+    "mixed_file_types": """
+        SELECT rec_id, fy, cast(line_no AS bigint) AS line_no, cast(part_id AS bigint) AS part_id, cast(quantity AS double) AS quantity,
+               CASE WHEN line_no <= 3 THEN ship_date END AS ship_date, fy AS source_period
+        FROM fx_child_cur""",
+    "fingerprint_by_folder": "SELECT * FROM folder_child_cur WHERE source_period IN (SELECT fy FROM changed_periods)",
+    "changed_keys_by_folder": f"""
+        SELECT rec_id FROM ({_changed_by_folder("folder_parent_cur", "folder_parent_prev")})
+        UNION SELECT rec_id FROM ({_changed_by_folder("folder_child_cur", "folder_child_prev")})""",
+    "merge_snapshot_by_folder": """
+        SELECT * FROM folder_parent_cur WHERE source_period IN (SELECT fy FROM changed_periods)
+        UNION ALL SELECT * FROM folder_parent_prev WHERE source_period NOT IN (SELECT fy FROM changed_periods)""",
+    "family_changes": """
+        SELECT rec_id,
+               EXISTS (SELECT 1 FROM family_left c WHERE c.rec_id = k.rec_id
+                       AND NOT EXISTS (SELECT 1 FROM family_prev p WHERE p.member = c.member AND p.rec_id = c.rec_id AND p.hash = c.hash)) AS changed,
+               EXISTS (SELECT 1 FROM family_prev p WHERE p.rec_id = k.rec_id) AS known,
+               EXISTS (SELECT 1 FROM family_prev p WHERE p.rec_id = k.rec_id AND p.member = 1)
+               AND NOT EXISTS (SELECT 1 FROM family_left c WHERE c.rec_id = k.rec_id AND c.member = 1) AS lost
+        FROM (SELECT rec_id FROM family_left UNION SELECT rec_id FROM family_prev) k""",
 }
 
 

@@ -14,15 +14,18 @@ from deltaextract.config import Dimension, EntitySpec, FeedSpec
 from deltaextract.functions import folder_to_fy, folder_year, row_hash
 from deltaextract.operators import (
     CohortLists,
+    KeyFilter,
     carry_over,
     changed_entity_keys,
     changed_folder_list,
     changed_keys,
     changed_periods,
+    cohort_fingerprint,
     cohort_keys,
     control_rows,
     entity_folders,
     extract_delta,
+    family_changes,
     fingerprint,
     in_periods,
     live_keys,
@@ -34,9 +37,10 @@ from deltaextract.operators import (
     record_counts,
     snapshot_schema,
     source_rows,
+    vanished_periods,
 )
 from deltaextract.operators.project import ROW_ALIAS, hash_columns
-from deltaextract.plans.feed import run_feed
+from deltaextract.plans.feed import FeedRun, run_feed
 from deltaextract.plans.concurrent import side_by_side
 from deltaextract.plans.fixtures import (
     CHILD,
@@ -49,10 +53,14 @@ from deltaextract.plans.fixtures import (
     Fixtures,
 )
 from deltaextract.sources import (
+    READ_PERIOD,
     delivered_files,
     folder_listing,
+    read_buckets,
     read_folder_state,
     read_or_empty,
+    read_periods,
+    write_buckets,
     write_by_period,
     write_control,
     write_delivery,
@@ -249,14 +257,14 @@ def folder_state_roundtrip(fx: Fixtures) -> DataFrame:
     return state.withColumn("last_modified", F.date_format("last_modified", "yyyy-MM-dd HH:mm:ss"))
 
 
-def _write_folders(frame: DataFrame, base: str, fys: list[str], mode: str = "overwrite") -> None:
+def _write_folders(frame: DataFrame, base: str, fys: list[str], mode: str = "overwrite", by: str = "fy") -> None:
     """One folder per FY; the frame is evaluated once, and each folder is then filled from its own partition."""
     path = scratch_path(frame.sparkSession, "by_period")
-    write_by_period(frame, path, "fy")
+    write_by_period(frame, path, by)
     rows = frame.sparkSession.read.schema(frame.schema).parquet(path).select(frame.columns)
 
     def write(fy: str) -> None:
-        rows.where(F.col("fy") == fy).write.mode(mode).parquet(f"{base}/FY{fy[:4]}-{fy[5:]}")
+        rows.where(F.col(by) == fy).drop(READ_PERIOD).write.mode(mode).parquet(f"{base}/FY{fy[:4]}-{fy[5:]}")
 
     side_by_side([partial(write, fy) for fy in fys])
 
@@ -284,6 +292,27 @@ def folder_mod_times(fx: Fixtures) -> DataFrame:
     )
 
 
+@_query("vanished_periods")
+def periods_gone(fx: Fixtures) -> DataFrame:
+    """One data source has lost every second folder, the other those of two years."""
+    year = folder_year(F.col("folder"))
+    lost = F.when(F.col("data_source") == "parent", year % 2 == 0).otherwise(year.isin(1996, 1997))
+    return vanished_periods(fx.folders.where(~lost), fx.folders, floor=1995)
+
+
+@_query("mixed_file_types")
+def mixed_file_types(fx: Fixtures) -> DataFrame:
+    """Folders whose files differ in the types of columns, and in the columns they have, read as one table."""
+    base = scratch_path(fx.spark, "mixed")
+    rows = fx.child.select("rec_id", "fy", "line_no", "part_id", "quantity", "ship_date")
+    narrow = rows.where("line_no <= 3").withColumns({"line_no": F.col("line_no").cast("smallint"), "part_id": F.col("part_id").cast("int"), "quantity": F.col("quantity").cast("float")})
+    wide = rows.where("line_no > 3").withColumns({"line_no": F.col("line_no").cast("bigint"), "quantity": F.col("quantity").cast("double")}).drop("ship_date")
+    fys = [r.fy for r in fx.parent.select("fy").distinct().collect()]
+    for part in (narrow, wide):
+        _write_folders(part, base, fys, "append")
+    return read_periods(fx.spark, [f"{base}/FY{fy[:4]}-{fy[5:]}" for fy in sorted(fys)], with_period=True)
+
+
 # -- fingerprints ---------------------------------------------------------------------------------------------------
 
 
@@ -297,6 +326,26 @@ def fingerprint_child(fx: Fixtures) -> DataFrame:
     return _fingerprints(fx, partial(fx.current_fingerprints, CHILD))[0]
 
 
+@_query("fingerprint_one_pass")
+def fingerprint_one_pass(fx: Fixtures) -> DataFrame:
+    """Cohort and fingerprints of the parent from one scan."""
+    return cohort_fingerprint(in_periods(fx.parent, fx.changed_fys, "fy"), fx.org_lists, PARENT, "fy")
+
+
+@_query("fingerprint_one_pass_fan")
+def fingerprint_one_pass_fan(fx: Fixtures) -> DataFrame:
+    """The same for keys that lie in several FYs and match in some of them only; lists that are not broadcast."""
+    rows = fx.parent.unionByName(fx.parent.where(F.col("rec_id") % 3 == 0).withColumns({"fy": F.lit("2000/01"), "provider_code": F.lit("none"), "gp_code": F.lit("none")}))
+    return cohort_fingerprint(rows, CohortLists.measure(fx.org_pairs(), broadcast_bytes=0), PARENT, "fy")
+
+
+@_query("fingerprint_filtered")
+def fingerprint_filtered(fx: Fixtures) -> DataFrame:
+    """Child rows whose key is not in the cohort are dropped by a filter of bounded size before they are hashed."""
+    fx.prepare(previous=False)
+    return fx.current_fingerprints(CHILD, key_filter=KeyFilter.of(fx.cohort_in_changed, CHILD.keys))
+
+
 @_query("fingerprint_split")
 def fingerprint_split(fx: Fixtures) -> DataFrame:
     """Three keys hold all rows, each about a third."""
@@ -367,6 +416,61 @@ def changed_family_vanished(fx: Fixtures) -> DataFrame:
     return changed_keys(pairs, PARENT.keys, detect_vanished=True, cohort=cohort)
 
 
+# -- state by the folder read ---------------------------------------------------------------------------------------
+
+
+def _unfiled(rows: DataFrame) -> DataFrame:
+    """Rows with the period of their folder; some have no FY, some have another than their folder's."""
+    key = F.col("rec_id")
+    fy = F.when(key % 11 == 0, F.lit(None)).when(key % 13 == 0, F.lit("1990/91")).otherwise(F.col("fy"))
+    return rows.withColumns({READ_PERIOD: F.col("fy"), "fy": fy})
+
+
+def _by_folder(fx: Fixtures, rows: DataFrame, cohort: DataFrame, spec: EntitySpec, *, changed_only: bool = True) -> DataFrame:
+    rows = _unfiled(rows)
+    return fingerprint(in_periods(rows, fx.changed_fys, READ_PERIOD) if changed_only else rows, cohort, spec, "fy", scope=[READ_PERIOD])
+
+
+@_query("fingerprint_by_folder")
+def fingerprint_by_folder(fx: Fixtures) -> DataFrame:
+    fx.prepare(previous=False)
+    return _by_folder(fx, fx.child, fx.cohort_in_changed, CHILD)
+
+
+@_query("changed_keys_by_folder")
+def changed_keys_by_folder(fx: Fixtures) -> DataFrame:
+    fx.prepare()
+    members = ((fx.parent, fx.parent_previous, PARENT), (fx.child, fx.child_previous, CHILD))
+    pairs = [(_by_folder(fx, now, fx.cohort_in_changed, spec), _by_folder(fx, before, fx.cohort_previous, spec)) for now, before, spec in members]
+    return changed_keys(pairs, PARENT.keys)
+
+
+@_query("merge_snapshot_by_folder")
+def merge_snapshot_by_folder(fx: Fixtures) -> DataFrame:
+    fx.prepare()
+    current = _by_folder(fx, fx.parent, fx.cohort_in_changed, PARENT)
+    return merge_snapshot(current, _by_folder(fx, fx.parent_previous, fx.cohort_previous, PARENT, changed_only=False), fx.changed_fys, READ_PERIOD)
+
+
+@_query("changed_keys_from_buckets")
+def changed_keys_from_buckets(fx: Fixtures) -> DataFrame:
+    """Current and previous fingerprints stored in buckets by key, and compared where they lie."""
+    base, stored = scratch_path(fx.spark, "buckets"), []
+    for i, frame in enumerate(f for pair in _pairs(fx, PARENT, CHILD) for f in pair):
+        write_buckets(frame, f"{base}/{i}", ["rec_id"], "fy", 8)
+        stored.append(read_buckets(fx.spark, f"{base}/{i}", frame.schema, ["rec_id"], 8))
+    return changed_keys(zip(stored[::2], stored[1::2], strict=True), PARENT.keys, in_place=True)
+
+
+@_query("family_changes")
+def family_change_flags(fx: Fixtures) -> DataFrame:
+    """What happened to each key: new, edited, left or without child rows; some records have left the cohort."""
+    cohort = fx.cohort_in_changed.where(F.col("rec_id") % 7 != 0)
+    rows = fx.child.where(F.col("rec_id") % 31 != 0)
+    current = [fingerprint(in_periods(r, fx.changed_fys, "fy"), cohort, spec, "fy") for r, spec in ((fx.parent, PARENT), (rows, CHILD))]
+    return family_changes(list(zip(current, [fx.previous_in_changed(PARENT), fx.previous_in_changed(CHILD)], strict=True)), PARENT.keys)
+
+
 # -- delivery -------------------------------------------------------------------------------------------------------
 
 
@@ -503,9 +607,47 @@ def feed_second_run(fx: Fixtures) -> DataFrame:
         _write_folders(current, f"{base}/{name}", changed)
     run = run_feed(fx.spark, feed, SALT)
 
+    lines = _delivered_lines(fx.spark, run)
+    lines.append(_control_lines(fx.spark, f"{run.delivery_path}/{feed.name}_control").select(F.lit("control").alias("output"), "line"))
+    return reduce(DataFrame.unionByName, lines)
+
+
+def _delivered_lines(spark: SparkSession, run: FeedRun, prefix: str = "") -> list[DataFrame]:
     lines = []
     for label in ("parent", "child", "parentDeletes"):
-        read = fx.spark.read.text(f"{run.delivery_path}/{label}").withColumnRenamed("value", "line")
-        lines.append(read.where(~F.col("line").startswith("record_id")).select(F.lit(label).alias("output"), "line"))
-    lines.append(_control_lines(fx.spark, f"{run.delivery_path}/{feed.name}_control").select(F.lit("control").alias("output"), "line"))
+        read = spark.read.text(f"{run.delivery_path}/{label}").withColumnRenamed("value", "line")
+        lines.append(read.where(~F.col("line").startswith("record_id")).select(F.lit(prefix + label).alias("output"), "line"))
+    return lines
+
+
+@_query("run_feed_without_fy")
+def feed_of_unfiled_rows(fx: Fixtures) -> DataFrame:
+    """Three runs over rows of which some have no FY and some another than their folder's: the lines of the second, and of a third after folders were written anew with the same rows."""
+    base = scratch_path(fx.spark, "feed")
+    feed = fixture_feed(base, fixture_dimensions(fx, base))
+    sources = {"parent": (fx.parent_previous, fx.parent), "child": (fx.child_previous, fx.child)}
+    fys = [r.fy for r in fx.parent_previous.select("fy").distinct().collect()]
+    for name, (previous, _) in sources.items():
+        _write_folders(_unfiled(previous), f"{base}/{name}", fys, by=READ_PERIOD)
+    run_feed(fx.spark, feed, SALT)
+
+    lines = []
+    for prefix in ("", "again_"):
+        for name, (_, current) in sources.items():
+            _write_folders(_unfiled(current), f"{base}/{name}", fx.changed_fys, by=READ_PERIOD)
+        lines += _delivered_lines(fx.spark, run_feed(fx.spark, feed, SALT), prefix)
     return reduce(DataFrame.unionByName, lines)
+
+
+@_query("run_feed_retired_folder")
+def feed_with_retired_folder(fx: Fixtures) -> DataFrame:
+    """Two runs, the second without the folder of the first year: every line that it delivers."""
+    base = scratch_path(fx.spark, "feed")
+    dimensions = fixture_dimensions(fx, base)
+    fys = sorted(r.fy for r in fx.parent_previous.select("fy").distinct().collect())
+    runs = []
+    for sources, there in ((f"{base}/all", fys), (f"{base}/without", fys[1:])):
+        for name, rows in (("parent", fx.parent_previous), ("child", fx.child_previous)):
+            _write_folders(rows, f"{sources}/{name}", there)
+        runs.append(run_feed(fx.spark, fixture_feed(sources, dimensions, output_path=f"{base}/out"), SALT, retire_folders=True))
+    return reduce(DataFrame.unionByName, _delivered_lines(fx.spark, runs[-1]))

@@ -3,6 +3,7 @@
 import glob
 import gzip
 import hashlib
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ import deltaextract.plans.feed as feed_module
 from deltaextract.config import Dimension, FeedSpec
 from deltaextract.plans import run_feed
 from deltaextract.plans.feed import live_key_label
+from deltaextract.sources.runs import Overtaken, completed_runs
 
 SALT = "s"
 PARENT = "id long, fy string, org string, gp string, a string"
@@ -228,3 +230,123 @@ def test_receiver_stays_in_step(world):
         assert copy["diag"] == sorted(
             [f"{code(1)}|1|x|", f"{code(1)}|2||"] + [f"{code(k)}|{i}|v|" for k, _, n in families for i in range(n)]
         )
+
+
+def test_rows_without_an_fy_are_sent_once_and_retire(world):
+    """Three runs: without changes nothing is sent again, and a removed key leaves the list of live keys."""
+    unfiled = [(4, None, "O1", None, "d"), (5, None, "O1", None, "e"), (6, "2013/14", "O1", None, "f")]
+    child = [(4, None, 1, "z"), (5, "2013/14", 1, "z"), (6, None, 1, "z")]
+    world.put("spell", "FY2013-14", unfiled, PARENT)
+    world.put("diag", "FY2013-14", child, CHILD)
+    first = world.run(run_id="r1")
+    assert world.lines(first, "spellDeletes") == sorted(code(k) for k in (1, 2, 4, 5, 6))
+
+    world.put("spell", "FY2013-14", unfiled, PARENT)
+    second = world.run(run_id="r2")
+    assert second.changed and world.lines(second, "spell") == [] and world.lines(second, "diag") == []
+    assert world.lines(second, "spellDeletes") == sorted(code(k) for k in (1, 2, 4, 5, 6))
+
+    world.put("spell", "FY2013-14", unfiled[1:], PARENT)
+    world.put("diag", "FY2013-14", [(4, None, 1, "z"), (5, "2013/14", 1, "z"), (6, None, 1, "new")], CHILD)
+    third = world.run(run_id="r3")
+    assert world.lines(third, "spell") == [f"{code(6)}|f"]
+    assert world.lines(third, "spellDeletes") == sorted(code(k) for k in (1, 2, 5, 6))
+    # Also where older rows come from a completed snapshot.
+    world.put("spell", "FY2013-14", unfiled[2:], PARENT)
+    fourth = world.run(run_id="r4", full_snapshot_every=1)
+    assert world.lines(fourth, "spell") == [] and world.lines(fourth, "spellDeletes") == sorted(code(k) for k in (1, 2, 6))
+
+
+def test_a_row_that_moves_to_another_folder_is_neither_doubled_nor_lost(world):
+    world.run(run_id="r1")
+    world.put("spell", "FY2012-13", [(1, "2012/13", "O1", "G9", "abcd")], PARENT)
+    world.put("spell", "FY2013-14", [(4, "2013/14", "O1", None, "d"), (5, "2013/14", "O1", None, "e"), (2, "2012/13", "O9", "G1", "b")], PARENT)
+    moved = world.run(run_id="r2")
+    assert world.lines(moved, "spell") == []  # its content is the same
+    assert world.lines(moved, "spellDeletes") == sorted(code(k) for k in (1, 2, 4, 5))
+    # The old folder changes again: the row is not of it any more.
+    world.put("spell", "FY2012-13", [(1, "2012/13", "O1", "G9", "xbcd")], PARENT)
+    later = world.run(run_id="r3")
+    assert world.lines(later, "spell") == [f"{code(1)}|xbc"]
+    assert world.lines(later, "spellDeletes") == sorted(code(k) for k in (1, 2, 4, 5))
+    # And it is gone when it is gone from the new one.
+    world.put("spell", "FY2013-14", [(4, "2013/14", "O1", None, "d"), (5, "2013/14", "O1", None, "e")], PARENT)
+    last = world.run(run_id="r4")
+    assert world.lines(last, "spell") == [] and world.lines(last, "spellDeletes") == sorted(code(k) for k in (1, 4, 5))
+
+
+@pytest.mark.parametrize("retire", [False, True])
+def test_a_folder_that_disappears(world, retire):
+    world.run(run_id="r1")
+    shutil.rmtree(f"{world.base}/spell/FY2013-14")
+    second = world.run(run_id="r2", retire_folders=retire)
+    assert second.periods == (("2013/14",) if retire else ())
+    if retire:
+        assert second.records["spell"] == second.records["diag"] == 0
+        assert world.lines(second, "spellDeletes") == sorted(code(k) for k in (1, 2))
+        assert not world.run(run_id="r3", retire_folders=True).changed
+    # The folder comes back, with one of its records.
+    world.put("spell", "FY2013-14", [(4, "2013/14", "O1", None, "d")], PARENT)
+    back = world.run(run_id="r4", retire_folders=retire)
+    assert world.lines(back, "spell") == ([f"{code(4)}|d"] if retire else [])
+    assert world.lines(back, "spellDeletes") == sorted(code(k) for k in (1, 2, 4))
+
+
+def test_of_two_runs_that_overlap_the_first_to_complete_counts(spark, world, monkeypatch):
+    world.run(run_id="r1")
+    world.put("spell", "FY2013-14", [(4, "2013/14", "O1", None, "d"), (6, "2013/14", "O1", None, "f")], PARENT)
+    complete, inner = feed_module._Run.complete, []
+
+    def overtaken(run):
+        if run.run_id == "slow":
+            inner.append(world.run(run_id="quick"))
+        complete(run)
+
+    monkeypatch.setattr(feed_module._Run, "complete", overtaken)
+    with pytest.raises(Overtaken, match="quick"):
+        world.run(run_id="slow")
+    assert world.lines(inner[0], "spell") == [f"{code(6)}|f"]
+    assert [r.run_id for r in completed_runs(spark, f"{world.base}/out/state/runs")] == ["r1", "quick"]
+    assert not world.run(run_id="r4").changed
+
+
+def test_of_two_records_of_one_number_the_earlier_one_counts(spark, tmp_path):
+    from pyspark.sql import Row
+
+    from deltaextract.sources.runs import RUN_SCHEMA, record_run
+
+    def run(name, seq):
+        return Row(seq=seq, run_id=name, fys=[], full=seq == 1, time_zone="UTC", hash_encoding="joined", digest="d", buckets=0)
+
+    path = f"{tmp_path}/runs"
+    record_run(spark, path, run("first", 1))
+    record_run(spark, path, run("b", 2))
+    # As if both had looked before either wrote.
+    spark.createDataFrame([run("a", 2)], RUN_SCHEMA).write.mode("append").json(f"{path}/{2:09d}")
+    assert [r.run_id for r in completed_runs(spark, path)] == ["first", "b"]
+    for late in (run("a", 2), run("c", 1)):
+        with pytest.raises(Overtaken):
+            record_run(spark, path, late)
+
+
+def test_a_folder_with_files_of_different_types(spark, world):
+    world.run(run_id="r1")
+    rows = [(4, "2013/14", 1, "z")]
+    world.put("diag", "FY2013-14", rows, CHILD)
+    spark.createDataFrame([(5, "2013/14", 2**40, "z")], "id int, fy string, n long, v string").write.mode("append").parquet(f"{world.base}/diag/FY2013-14")
+    second = world.run(run_id="r2")
+    assert world.lines(second, "diag") == [f"{code(5)}|{2**40}|z|"]
+
+
+@pytest.mark.parametrize("options", [{"one_pass": True}, {"key_filter_bytes": 0}, {"snapshot_buckets": 3}, {"one_pass": True, "key_filter_bytes": 0, "snapshot_buckets": 2, "full_snapshot_every": 1}])
+def test_other_ways_to_the_cohort_deliver_the_same(world, options):
+    first = world.run(run_id="r1", **options)
+    assert first.records == {"spell": 4, "diag": 4, "open_now": 0, "spellDeletes": 4, "open_nowDeletes": 0}
+    world.put("diag", "FY2013-14", [(4, "2013/14", 1, "edited"), (5, "2013/14", 1, "z"), (9, "2013/14", 1, "outside")], CHILD)
+    second = world.run(run_id="r2", **options)
+    assert world.lines(second, "spell") == [f"{code(4)}|d"] and world.lines(second, "diag") == [f"{code(4)}|1|edited|"]
+    assert world.lines(second, "spellDeletes") == sorted(code(k) for k in (1, 2, 4, 5))
+    # Both forms write the same hashes.
+    assert not world.run(run_id="r3").changed
+    world.put("spell", "FY2013-14", [(4, "2013/14", "O1", None, "d"), (5, "2013/14", "O1", None, "e")], PARENT)
+    assert world.lines(world.run(run_id="r4"), "spell") == []

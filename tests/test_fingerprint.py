@@ -6,9 +6,11 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from deltaextract.config import EntitySpec
-from deltaextract.operators import fingerprint
+from deltaextract.operators import CohortLists, KeyFilter, cohort_fingerprint, cohort_keys, family_changes, fingerprint
+from deltaextract.sources import read_buckets, write_buckets
 
 SPEC = EntitySpec.from_mapping("e", {"columns": ["id", "a", "b", "c"], "keys": ["id"], "encrypt": ["a"]})
 SCHEMA = "id long, fy string, a string, b string, c string"
@@ -140,3 +142,89 @@ def test_sums_combine_before_the_shuffle(spark):
     source = spark.createDataFrame(ROWS, SCHEMA)
     plan = fingerprint(source, source.select("id", "fy").distinct(), SPEC, "fy")._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan and "collect_list" not in plan and "SortAggregate" not in plan
+
+
+def test_a_key_filter_keeps_the_cohort_and_drops_most_others(spark):
+    cohort = spark.range(0, 40_000, 4).select(F.col("id").cast("int").alias("id"))
+    made = KeyFilter.of(cohort, ["id"])
+    assert made.bits == 1 << 18 and made.bitmaps.count() <= made.bits >> 15
+    source = spark.range(40_000).union(spark.sql("SELECT cast(NULL AS bigint)"))
+    passed = {r.id for r in made.keep(source, ["id"]).collect()}
+    assert set(range(0, 40_000, 4)) <= passed and None not in passed
+    assert len(passed) - 10_000 < 0.1 * 30_000
+    # Text equal to a number may have another bit, so such keys are left to the join.
+    text = source.select(F.col("id").cast("string").alias("id"))
+    assert not made.fits(text, ["id"]) and made.keep(text, ["id"]) is text
+    assert KeyFilter.of(cohort.limit(0), ["id"]).keep(source, ["id"]).count() == 0
+
+
+def test_a_key_filter_on_several_keys_changes_no_fingerprint(spark):
+    spec = EntitySpec.from_mapping("e", {"columns": ["id", "a", "b", "c"], "keys": ["id", "a"], "filter": "c <> 'q'"})
+    source = spark.createDataFrame(skewed_rows() + ROWS, SCHEMA)
+    cohort = source.where("id % 3 = 1").select("id", "a", "fy").distinct()
+    plain = fingerprint(source, cohort, spec, "fy")
+    filtered = fingerprint(source, cohort, spec, "fy", key_filter=KeyFilter.of(cohort, ["id", "a"]))
+    assert sorted(map(str, filtered.collect())) == sorted(map(str, plain.collect())) != []
+
+
+def test_the_key_filter_lies_below_hashing(spark):
+    source = spark.createDataFrame(skewed_rows(), SCHEMA)
+    cohort = source.where("id = 11").select("id", "fy").distinct()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = fingerprint(source, cohort, SPEC, "fy", key_filter=KeyFilter.of(cohort, ["id"]))
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Deeper in the plan means further down in its text.
+    assert plan.index("SortMergeJoin") < plan.index("partial_sum") < plan.index("sha2") < plan.index("BroadcastHashJoin") < plan.index("bitmap_construct_agg")
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_one_pass_finds_the_cohort_and_its_fingerprints(spark, tmp_path, small):
+    rows = [
+        (1, "f1", "A", "x", "1"),
+        (1, "f1", "n", "n", "2"),
+        (1, "f2", "n", "n", "3"),  # taken along by its key
+        (2, "f1", "n", "y", "4"),
+        (2, None, "A", "y", "5"),
+        (3, "f1", "n", "n", "6"),
+        (None, "f1", "A", "x", "7"),
+        *[(4, "f1", "n", "n", str(i)) for i in range(50)],
+    ]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/rows")
+    source = spark.read.parquet(f"{tmp_path}/rows")
+    orgs = [spark.createDataFrame([(v,), (None,)], "org_code string").distinct() for v in ("A", "y")]
+    lists = CohortLists.measure(list(zip(orgs, ("a", "b"), strict=True)), **{} if small else {"broadcast_bytes": 0})
+    found = cohort_fingerprint(source, lists, SPEC, "fy")
+    cohort = cohort_keys(source, lists, SPEC, "fy").dropna(subset=["id"])
+    assert sorted(map(str, found.drop("matched").collect())) == sorted(map(str, fingerprint(source, cohort, SPEC, "fy").collect()))
+    assert {(r.id, r.fy) for r in found.where("matched").collect()} == {(r.id, r.fy) for r in cohort.collect()} == {(1, "f1"), (2, "f1"), (2, None)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "partial_bool_or" in plan.replace("partial_max(__matched", "partial_bool_or")
+
+
+def test_fingerprints_in_buckets_are_compared_without_a_shuffle(spark, tmp_path):
+    def stored(name, rows, mode="overwrite"):
+        frame = spark.createDataFrame(rows, "id long, fy string, hash string, source_period string")
+        write_buckets(frame, f"{tmp_path}/{name}", ["id"], "source_period", 3, mode)
+        return read_buckets(spark, f"{tmp_path}/{name}", frame.schema, ["id"], 3)
+
+    first = stored("r1", [(i, "f", f"h{i}", "p1" if i % 2 else "p2") for i in range(40)])
+    stored("r2", [(i, "f", f"h{i}", "p2") for i in range(0, 40, 4)])
+    second = stored("r2", [(100, "f", "h", "p2")], "append")
+    assert second.count() == 11 and not [t for t in spark.catalog.listTables() if t.name.startswith("deltaextract_")]
+    previous = first.where("source_period IN ('p1')").unionByName(second.where("source_period IN ('p2')"))
+    current = stored("r3", [(i, "f", f"h{i}" if i % 10 else "edited", "p1" if i % 2 else "p2") for i in range(41)])
+    changes = family_changes([(current, previous), (current.where("id <> 5"), previous)], ["id"], in_place=True)
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SelectedBucketsCount" in plan
+    found = {r.id: (r.changed, r.known, r.lost) for r in changes.collect()}
+    new = {i for i in range(0, 40) if i % 2 == 0 and i % 4} | {40}
+    assert {i for i, f in found.items() if f[0]} == new | {0, 10, 20, 30}
+    assert {i for i, f in found.items() if not f[1]} == new
+    assert {i for i, f in found.items() if f[2]} == {5, 100}
+    assert sorted(found) == sorted(r.id for r in family_changes([(current, previous)], ["id"]).collect())
+    missing = read_buckets(spark, f"{tmp_path}/none", first.schema, ["id"], 3)
+    assert missing.count() == 0 and missing.schema == first.schema

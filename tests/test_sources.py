@@ -16,6 +16,7 @@ from deltaextract.sources import (
     read_folder_state,
     read_or_empty,
     read_periods,
+    schema_groups,
     write_by_period,
     write_control,
     write_delivery,
@@ -148,3 +149,36 @@ def test_period_partitions_keep_slashes_and_nulls(spark, tmp_path):
     rows = spark.createDataFrame([(1, "2012/13"), (2, None)], "id long, fy string")
     write_by_period(rows, f"{tmp_path}/t", "fy")
     assert sorted(map(tuple, spark.read.schema(rows.schema).parquet(f"{tmp_path}/t").collect())) == [(1, "2012/13"), (2, None)]
+
+
+def test_files_of_different_types_in_one_folder(spark, tmp_path):
+    folder = f"{tmp_path}/FY2012-13"
+    for rows, schema in (
+        ([(1, 1.5)], "id int, x float"),
+        ([(2, 2.5, "new")], "id int, x float, late string"),
+        ([(2**40, 3.5)], "id long, x double"),
+        ([(4, 4.5)], "id short, x double"),
+        ([(2**41, 5.5, "l")], "id long, x double, late string"),
+    ):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    spark.createDataFrame([(6, 6.5)], "id long, x double").coalesce(1).write.parquet(f"{tmp_path}/FY2013-14")
+    paths = [folder, f"{tmp_path}/FY2013-14"]
+    assert period_schema(spark, paths).simpleString() == "struct<id:bigint,x:double,late:string>"
+    expected = [(1, 1.5, None), (2, 2.5, "new"), (4, 4.5, None), (6, 6.5, None), (2**40, 3.5, None), (2**41, 5.5, "l")]
+    assert sorted(map(tuple, read_periods(spark, paths).collect()), key=lambda r: r[0]) == expected
+    placed = read_periods(spark, paths, with_period=True)
+    assert {r.id: r.source_period for r in placed.collect()} == {**dict.fromkeys((1, 2, 4, 2**40, 2**41), "2012/13"), 6: "2013/14"}
+    # int with float, long with double, short with double
+    assert len(schema_groups(spark, paths)) == 3
+    plan = placed.where("id = 2").select("x")._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(id), EqualTo(id,2)]" in plan and "late" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_nested_types_widen_and_real_conflicts_are_named(spark, tmp_path):
+    spark.createDataFrame([(1, [1], (1, "a"))], "id int, l array<int>, s struct<n:int,t:string>").write.parquet(f"{tmp_path}/a")
+    spark.createDataFrame([(1, [2**40], (2**40, "b"))], "id long, l array<long>, s struct<n:long,t:string>").write.mode("append").parquet(f"{tmp_path}/a")
+    rows = read_periods(spark, [f"{tmp_path}/a"])
+    assert sorted((r.l[0], r.s.n, r.s.t) for r in rows.collect()) == [(1, 1, "a"), (2**40, 2**40, "b")]
+    spark.createDataFrame([("x",)], "id string").write.mode("append").parquet(f"{tmp_path}/a")
+    with pytest.raises(ValueError, match="column id is"):
+        read_periods(spark, [f"{tmp_path}/a"])
