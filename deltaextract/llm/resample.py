@@ -185,7 +185,7 @@ def importance(
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added or c in (doc_id, text)])
     documents, features = document_lines(docs, text=text, **sizes), line_features(docs, text=text, **sizes)
     wanted = line_features(target, text=text, **sizes)
-    of_target = document_lines(target.select(F.col(f"`{text}`")), text=text, **sizes) if max_n > 1 else None
+    of_target = document_lines(target.select(F.lit(0).alias("none"), F.col(f"`{text}`").alias("text")), **sizes) if max_n > 1 else None
     gain = gains(bucket_counts(features, documents if max_n > 1 else None, buckets), bucket_counts(wanted, of_target, buckets))
     found = weights(documents, features, gain)
     # Ordered by position in the whole table: stored first, since an order is sampled before it is made.
