@@ -7,7 +7,7 @@ import re
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
-from functools import partial
+from functools import partial, reduce
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -293,15 +293,9 @@ class _Run:
         return write_delivery(out, self._folders[name], self.feed.target_rows, encoding=encoding)
 
     def write_control_file(self, names: Sequence[str], records: dict[str, int], encoding: str) -> None:
-        entries = [
-            delivered_files(self.spark, self._folders[n])
-            .agg(F.sort_array(F.collect_list("file")).alias("files"))
-            .withColumn("records", F.lit(records[n]))
-            for n in names
-        ]
-        rows = entries[0]
-        for more in entries[1:]:
-            rows = rows.unionByName(more)
+        # A row for each file; their names are never gathered.
+        entries = [delivered_files(self.spark, self._folders[n]).select(F.array("file").alias("files"), F.lit(records[n]).alias("records")) for n in names]
+        rows = reduce(DataFrame.unionByName, entries)
         control = control_rows(rows, self.feed.datum, self.feed.period_start, self.feed.period_end)
         write_control(control, f"{self.delivery}/{self.feed.name}_control", encoding)
 

@@ -63,9 +63,9 @@ def write_delivery(frame: DataFrame, path: str, target_rows: int, records: int |
 
 
 def write_control(rows: DataFrame, path: str, encoding: str = ENCODING) -> None:
-    """Write control rows (one per delivered part) as a single uncompressed file."""
+    """Write control rows (one per delivered part) as a single uncompressed file, in order of the parts' names."""
     with charset_allowed(rows.sparkSession, encoding):
-        rows.coalesce(1).write.mode("overwrite").options(encoding=encoding, **CONTROL_FORMAT).csv(path)
+        rows.repartition(1).sortWithinPartitions(rows.columns[0]).write.mode("overwrite").options(encoding=encoding, **CONTROL_FORMAT).csv(path)
 
 
 def delivered_files(spark: SparkSession, path: str) -> DataFrame:
