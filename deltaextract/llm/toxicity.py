@@ -119,7 +119,8 @@ def _document_counts(rows: DataFrame, among: frozenset[str] | None = None) -> Da
             counts: Counter = Counter()
             for text in b["text"]:
                 counts.update(_entries(text) if among is None else _entries(text) & among)
-            yield pd.DataFrame({"entry": list(counts), "docs": list(counts.values())})
+            # With types, since there may be none.
+            yield pd.DataFrame({"entry": pd.Series(list(counts), dtype=object), "docs": pd.Series(list(counts.values()), dtype="int64")})
 
     return rows.select("text").mapInPandas(count, "entry string, docs long").groupBy("entry").agg(F.sum("docs").alias("docs"))
 
@@ -184,7 +185,8 @@ def _exceptions(rows: DataFrame, weights: dict[str, float]) -> frozenset[str]:
                 around = {f"{words[i]} {words[i + 1]}" for at, _, _ in matcher.matches(words) for i in (at - 1, at) if 0 <= i < len(words) - 1}
                 counts[label].update(around)
             names = list(counts[0] | counts[1])
-            yield pd.DataFrame({"phrase": names, "t": [counts[1][x] for x in names], "o": [counts[0][x] for x in names]})
+            both = {"t": counts[1], "o": counts[0]}
+            yield pd.DataFrame({"phrase": pd.Series(names, dtype=object), **{k: pd.Series([c[x] for x in names], dtype="int64") for k, c in both.items()}})
 
     found = (
         rows.select("text", "toxic").mapInPandas(phrases, "phrase string, t long, o long")
