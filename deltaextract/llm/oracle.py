@@ -34,6 +34,20 @@ SELECT scored.doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 10
 FROM scored LEFT JOIN eligible USING (doc_id)
 """
 
+_DECONTAMINATION = rf"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
+starts AS (SELECT item_id, w, least(len(w), 13) AS size, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS k FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, size, array_to_string(w[k:k + size - 1], ' ') AS g FROM starts),
+places AS (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM docs, (SELECT DISTINCT size FROM windows)),
+found AS (SELECT doc_id, k, size, item_id FROM (SELECT doc_id, k, size, array_to_string(w[k:k + size - 1], ' ') AS g FROM places) JOIN windows USING (size, g)),
+hit AS (SELECT doc_id, count(DISTINCT word) AS n FROM (SELECT doc_id, unnest(range(k, k + size)) AS word FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids FROM found GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(named.n, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
 _AUDIT = r"""
 WITH words AS (SELECT *, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 flags AS (
@@ -73,4 +87,4 @@ FROM counted
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op12_resampling": _RESAMPLING, "op13_filter_audit": _AUDIT}
+    return {"op5_decontamination": _DECONTAMINATION, "op12_resampling": _RESAMPLING, "op13_filter_audit": _AUDIT}
