@@ -1,6 +1,6 @@
 """Filter interaction audit over a sparse document-term matrix.
 
-Words are numbered for the whole corpus, and blocks of documents become shards of a sparse matrix (compressed rows: how many entries each row has, their columns, their counts). A row's sum
+Words are numbered for the whole corpus, and blocks of documents become shards of a sparse matrix (compressed rows: how many entries each row has, their columns in any order, their counts). A row's sum
 is its document's number of words and its number of entries that of different words, which decide the filters on length and repetition. The other flags come with the rows; documents are then counted by
 what they fail, and every order of the filters is read from these few counts.
 
@@ -10,8 +10,7 @@ number. That is the same whichever task computes it, and takes one shuffle of th
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from functools import partial, reduce
 from itertools import permutations
@@ -27,12 +26,13 @@ from pyspark.sql import types as T
 from deltaextract.llm.blocks import one_list, slices_of
 from deltaextract.sources.shared import stored
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 12_000_000
+#: So many that a bucket's words are few in any corpus; sorting by bucket first is cheap.
+WORD_BUCKETS = 1 << 20
 # The filters of the audit.
 FILTERS = "ABCDE"
 MIN_WORDS, MIN_DISTINCT_PERCENT, MAX_CAPITALS_PERCENT = 200, 50, 2
-_CAPITALS = re.compile(r"[A-Z]+")
-_SIGNS = re.compile(r"[#$%&*|]")
+_CAPITALS, _SIGNS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"#$%&*|"
 
 _BINARY = T.BinaryType()
 _FLAGS = T.StructType([T.StructField("c", T.BooleanType()), T.StructField("d", T.BooleanType())])
@@ -46,19 +46,21 @@ def _unpacked(data: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(data), kind)
 
 
-def _shard(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+def _shard(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
     """Entries of each row, columns (each row's are in order) and counts, and the words that columns stand for."""
-    numbers: dict[bytes, int] = {}
+    numbers: dict[bytes, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
+    number = numbers.__getitem__
     entries, columns, counts = [], [], []
     for text in texts:
-        found = Counter(text.encode().split())  # bytes: white space is exactly blank and \x09 to \x0d
-        at = np.array([numbers.setdefault(w, len(numbers)) for w in found], np.int64)
+        found = Counter(text.split())  # bytes: white space is exactly blank and \x09 to \x0d
+        at = np.array(list(map(number, found)), np.int64)
         order = np.argsort(at)
         entries.append(len(found))
         columns.append(at[order])
         counts.append(np.fromiter(found.values(), np.int64, len(found))[order])
     none = np.zeros(0, np.int64)
-    return np.array(entries, np.int64), np.concatenate([*columns, none]), np.concatenate([*counts, none]), [w.decode() for w in numbers]
+    return np.array(entries, np.int64), np.concatenate([*columns, none]), np.concatenate([*counts, none]), list(numbers)
 
 
 def _steps(entries: np.ndarray, columns: np.ndarray) -> np.ndarray:
@@ -75,31 +77,33 @@ def _columns(entries: np.ndarray, steps: np.ndarray) -> np.ndarray:
     return total - np.repeat(before, entries)
 
 
-def _flags(texts: list[str]) -> pa.Array:
-    capitals = [100 * sum(map(len, _CAPITALS.findall(x))) > MAX_CAPITALS_PERCENT * len(x) for x in texts]
-    signs = [_SIGNS.search(x) is not None for x in texts]
+def _flags(texts: list[str], octets: list[bytes]) -> pa.Array:
+    capitals = [100 * (len(x) - len(x.translate(None, _CAPITALS))) > MAX_CAPITALS_PERCENT * len(t) for t, x in zip(texts, octets, strict=True)]
+    signs = [len(x.translate(None, _SIGNS)) < len(x) for x in octets]
     return pa.StructArray.from_arrays([pa.array(capitals, pa.bool_()), pa.array(signs, pa.bool_())], ["c", "d"])
 
 
 def _to_shards(chars: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, texts in slices_of(batch, "text", chars):
-            entries, columns, counts, words = _shard(texts)
-            rows = pa.StructArray.from_arrays([part.column("row"), _flags(texts)], ["row", "flags"])
+            octets = [x.encode() for x in texts]
+            entries, columns, counts, words = _shard(octets)
+            rows = pa.StructArray.from_arrays([part.column("row"), _flags(texts, octets)], ["row", "flags"])
             parts = [_packed(entries.astype(np.int32)), _packed(_steps(entries, columns).astype(np.int32)), _packed(counts.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([one_list(rows), *[pa.array([x], pa.binary()) for x in parts], one_list(pa.array(words, pa.string()))], ["docs", "entries", "steps", "counts", "words"])
+            yield pa.RecordBatch.from_arrays([one_list(rows), *[pa.array([x], pa.binary()) for x in parts], one_list(pa.array(words, pa.binary()))], ["docs", "entries", "steps", "counts", "words"])
 
 
-def _with_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        columns = []
-        for data, steps, numbers in zip(batch["entries"].to_pylist(), batch["steps"].to_pylist(), batch["numbers"], strict=True):
-            entries = _unpacked(data, np.int32).astype(np.int64)
-            local = _columns(entries, _unpacked(steps, np.int32).astype(np.int64))
-            whole = numbers.values.to_numpy(zero_copy_only=False)[local] if numbers.is_valid else local
-            order = np.lexsort((whole, np.repeat(np.arange(len(entries)), entries)))
-            columns.append((_packed(entries), _packed(whole[order]), _packed(_unpacked(batch["counts"][len(columns)].as_py(), np.int32).astype(np.int64)[order])))
-        yield pa.RecordBatch.from_arrays([batch["docs"], *[pa.array([c[k] for c in columns], pa.binary()) for k in range(3)]], ["docs", "entries", "columns", "counts"])
+def _with_numbers(shards: pa.Table, numbered: pa.Table) -> pa.Table:
+    """One shard with the numbers of its words, given by their places in its own dictionary. A shard of empty texts has no words."""
+    if not shards.num_rows:
+        raise ValueError("numbers without a shard")
+    entries = _unpacked(shards["entries"][0].as_py(), np.int32).astype(np.int64)
+    numbers = np.zeros(numbered.num_rows, np.int64)
+    numbers[numbered["pos"].to_numpy()] = numbered["number"].to_numpy()
+    columns = numbers[_columns(entries, _unpacked(shards["steps"][0].as_py(), np.int32).astype(np.int64))]
+    counts = _unpacked(shards["counts"][0].as_py(), np.int32).astype(np.int64)
+    parts = [pa.array([_packed(x)], pa.binary()) for x in (entries, columns, counts)]
+    return pa.table([shards["docs"], *parts], names=["docs", "entries", "columns", "counts"])
 
 
 def document_term_matrix(docs: DataFrame, *, text: str = "text", chars: int = BLOCK_CHARS) -> DataFrame:
@@ -111,19 +115,16 @@ def document_term_matrix(docs: DataFrame, *, text: str = "text", chars: int = BL
     rows = docs.select(row, F.col(f"`{text}`").alias("text"))
     each = T.StructType([rows.schema["row"], T.StructField("flags", _FLAGS)])
     binaries = [T.StructField(n, _BINARY) for n in ("entries", "steps", "counts")]
-    schema = T.StructType([T.StructField("docs", T.ArrayType(each)), *binaries, T.StructField("words", T.ArrayType(T.StringType()))])
+    schema = T.StructType([T.StructField("docs", T.ArrayType(each)), *binaries, T.StructField("words", T.ArrayType(_BINARY))])
     # Stored: what is numbered must be what the rows refer to.
     shards = stored(rows.mapInArrow(partial(_to_shards, chars), schema).withColumn("shard", F.monotonically_increasing_id()), "shards")
 
-    buckets = F.lit(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    words = shards.select("shard", F.posexplode("words").alias("pos", "word")).withColumn("bucket", F.pmod(F.xxhash64("word"), buckets))
+    words = shards.select("shard", F.posexplode_outer("words").alias("pos", "word")).where("word IS NOT NULL").withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(WORD_BUCKETS)))
     rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy("word"))
-    numbered = words.select("shard", "pos", (rank.cast("long") * buckets + F.col("bucket")).alias("number"))
-    # As many as the shard has words.
-    of_shard = numbered.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("pos", "number"))).alias("n")).select("shard", F.transform("n", lambda x: x["number"]).alias("numbers"))
-    joined = shards.drop("words").join(of_shard, "shard", "left").select("docs", "entries", "steps", "counts", "numbers")
-    out = T.StructType([schema["docs"], *[T.StructField(n, _BINARY) for n in ("entries", "columns", "counts")]])
-    return joined.mapInArrow(_with_numbers, out)
+    numbered = words.select("shard", "pos", (rank.cast("long") * WORD_BUCKETS + F.col("bucket")).alias("number"))
+    out = T.StructType([shards.schema["docs"], *[T.StructField(n, _BINARY) for n in ("entries", "columns", "counts")]])
+    # A group is one shard and the words of its dictionary, so it is as large as a block.
+    return shards.drop("words").groupBy("shard").cogroup(numbered.groupBy("shard")).applyInArrow(_with_numbers, out)
 
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
