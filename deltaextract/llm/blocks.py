@@ -6,16 +6,12 @@ documents are put together again by array look-ups, without a shuffle of their t
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
-Split = Callable[[str], list[str]]
-
-
 def slices_of(batch: pa.RecordBatch, column: str, chars: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Parts of an Arrow batch with about ``chars`` characters of text each, and their texts (null: empty); a longer text is a part of its own."""
     texts = [x or "" for x in batch.column(column).to_pylist()]
@@ -34,15 +30,6 @@ def one_list(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def numbered(texts: list[str], split: Split) -> tuple[list[np.ndarray], list[str]]:
-    """The terms of each text as numbers, and the terms these number."""
-    numbers: dict[str, int] = defaultdict()
-    numbers.default_factory = numbers.__len__
-    number = numbers.__getitem__
-    rows = [np.array(list(map(number, split(x))), np.int32) for x in texts]
-    return rows, list(numbers)
-
-
 def ragged(rows: list[np.ndarray], kind: type) -> pa.Array:
     offsets = np.zeros(len(rows) + 1, np.int32)
     np.cumsum([len(r) for r in rows], out=offsets[1:])

@@ -1,9 +1,8 @@
-"""Byte-level BPE: ranked merges folded over the bytes of distinct words by Spark's higher-order functions.
+"""Byte-level BPE: ranked merges of the bytes of words, for every document in the task that reads it.
 
-Texts are cut by the pattern into words, blocks of documents get a dictionary of their distinct words (see ``blocks``), and each distinct word is encoded once in
-the JVM: a fold starts from the ids of its bytes and merges the two neighbours of lowest rank, leftmost first, until none have one. After
-each merge only the two ranks beside it are looked up. The ranks are one literal: an array of small maps, addressed by the remainder of a pair of ids, since a look-up in
-one large map reads it from its start. Documents are then put together from the codes of their words by array look-ups; nothing is shuffled, whatever the size of the corpus.
+Texts are cut by the pattern into words. A word starts as its bytes; the two neighbours whose bytes together have the lowest rank are merged, leftmost first, until none have
+one. A heap holds the neighbours that have a rank, so that a word of any length takes time in proportion to its length and the logarithm of it. The codes of words of up to
+``CACHE_CHARS`` characters are kept while a worker lives, ``CACHE_WORDS`` of them; beyond that they start anew, so a worker's memory does not grow with the corpus. Nothing is shuffled.
 
 Letters, digits and white space are what the installed tokenizer library takes for them, asked once by the driver: the workers' regular expressions
 come with tables of another Unicode version.
@@ -12,28 +11,21 @@ come with tables of another Unicode version.
 from __future__ import annotations
 
 import base64
-import json
 import re
 from collections.abc import Callable, Iterator
-from functools import partial
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import regex
 import tiktoken
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from deltaextract.llm.blocks import cached, numbered, one_list, ragged, slices_of
+from deltaextract.llm.blocks import cached
+from deltaextract.llm.common import SLICE_CHARS, slices
 
-RANK_BUCKETS = 65_536
-# A pair of ids is one number of 2 * ID_BITS bits; END is no id, and NONE more than any rank.
-ID_BITS = 20
-END, NONE = (1 << ID_BITS) - 1, 1 << 30
-BLOCK_CHARS = 8_000_000
+CACHE_WORDS, CACHE_CHARS = 250_000, 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -86,128 +78,78 @@ def splitter(pattern: str, plain: str, differ: str) -> Callable[[str], list[str]
     return lambda text: exact(text) if far(text) and odd(text) else usual(text)
 
 
-def merge_literal(ranks: dict[bytes, int]) -> Column:
-    """Ranks by pairs of ids, as a literal array of small maps; a pair's place in the array is its remainder."""
-    buckets: list[dict[int, int]] = [{} for _ in range(RANK_BUCKETS)]
-    for token, rank in ranks.items():
-        for cut in range(1, len(token)):
-            left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
-            if left is not None and right is not None:
-                pair = (left << ID_BITS) + right
-                buckets[pair % RANK_BUCKETS][pair] = rank
-    # Keys in JSON are text; all of this is one constant to Spark.
-    return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<map<string,bigint>>").cast("array<map<bigint,bigint>>")
-
-
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    # A one-element array names what is used often, so that it is computed once.
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def fold_merges(merges: Column, word: Column) -> Column:
-    """The ids of a word after all merges, between two ``END``. ``merges``: :func:`merge_literal`; ``word``: ``ids`` between two ``END`` and ``ranks`` of each two neighbours."""
-
-    def rank(pair: Column) -> Column:
-        return F.get(merges, F.pmod(pair, F.lit(RANK_BUCKETS)).cast("int"))[pair]
-
-    def merged(state: Column, m: Column, p: Column) -> Column:
-        ids, ranks = state["ids"], state["ranks"]
-        before, after = F.shiftleft(F.get(ids, p - 2), ID_BITS) + m, F.shiftleft(m, ID_BITS) + F.get(ids, p + 1)
-        # flatten() of an array of arrays, since concat() builds a lazy list each time.
-        return F.struct(
-            F.flatten(F.array(F.slice(ids, F.lit(1), p - 1), F.array(m), F.slice(ids, p + 2, F.size(ids)))).alias("ids"),
-            F.flatten(F.array(F.slice(ranks, F.lit(1), p - 2), F.array(rank(before), rank(after)), F.slice(ranks, p + 2, F.size(ranks)))).alias("ranks"),
-        )
-
-    def step(state: Column, _: Column) -> Column:
-        # The lowest rank and, behind it, the place where it stands first (array_position would throw an exception for each hit).
-        lowest = F.array_min(F.transform(state["ranks"], lambda r, i: F.shiftleft(r, 32) + i))
-        return _let(lowest, lambda m: F.when(m < NONE << 32, merged(state, F.shiftright(m, 32), m.bitwiseAND(0xFFFFFFFF).cast("int") + 1)).otherwise(state))
-
-    return F.aggregate(F.slice(word["ids"], F.lit(4), F.size(word["ids"])), word, step, lambda state: state["ids"])
-
-
-def _terms(ranks: dict[bytes, int], words: list[str]) -> pa.Array:
-    """Of each word, the ids of its bytes between two ``END``, and the ranks of each two neighbours (``NONE``: no merge). A word that has a rank itself is one id."""
-    raw = [w.encode() for w in words]
-    of_byte = np.array([ranks[bytes([b])] for b in range(256)])
-    pair_rank = np.full((256, 256), NONE)
-    for token, rank in ranks.items():
-        if len(token) == 2:
-            pair_rank[token[0], token[1]] = rank
-    lengths = np.array([len(x) for x in raw], np.int64)
-    octets = np.frombuffer(b"".join(raw), np.uint8)
-    stops = np.cumsum(lengths)
-    # Place of each byte when an END stands before and after each word.
-    place = np.arange(len(octets)) + 2 * np.repeat(np.arange(len(raw)), lengths) + 1
-    ids = np.full(len(octets) + 2 * len(raw), END)
-    ids[place] = of_byte[octets]
-    beside = np.full(len(ids), NONE)
-    beside[place[:-1]] = pair_rank[octets[:-1], octets[1:]]
-    beside[place[stops - 1]] = NONE
-    bounds = np.concatenate([[0], np.cumsum(lengths + 2)])
-    whole = np.array([ranks.get(x, -1) for x in raw], np.int64)
-    keep = np.ones(len(ids), bool)
-    known = np.flatnonzero((whole >= 0) & (lengths > 1))
-    for w in known.tolist():
-        at = bounds[w]
-        ids[at + 1], beside[at + 1] = whole[w], NONE
-        keep[at + 2 : bounds[w + 1] - 1] = False
-    lengths[known] = 1
-    sizes = np.concatenate([[0], np.cumsum(lengths + 2)])
-    ids, beside = ids[keep], beside[keep]
-    last = np.ones(len(ids), bool)
-    last[sizes[1:] - 1] = False  # there is a rank less than there are ids
-    return pa.StructArray.from_arrays(
-        [
-            pa.ListArray.from_arrays(pa.array(sizes.astype(np.int32)), pa.array(ids)),
-            pa.ListArray.from_arrays(pa.array((sizes - np.arange(len(sizes))).astype(np.int32)), pa.array(beside[last])),
-        ],
-        ["ids", "ranks"],
-    )
-
-
-def _blocks(found: tuple[str, str, str], ranks: Broadcast, chars: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    split = splitter(*found)
-    for batch in batches:
-        for part, texts in slices_of(batch, "text", chars):
-            rows, words = numbered(texts, split)
-            docs = pa.StructArray.from_arrays([part.column("row"), ragged(rows, np.int32)], ["row", "items"])
-            yield pa.RecordBatch.from_arrays([one_list(docs), one_list(_terms(ranks.value, words))], ["docs", "words"])
-
-
-def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, text: str = "text", ids: str = "ids", chars: int = BLOCK_CHARS) -> DataFrame:
+def merged(ranks: dict[bytes, int], word: bytes) -> list[int]:
+    """The ids of a word after all merges."""
+    if word in ranks:
+        return [ranks[word]]
+    parts: list[bytes] = [word[i : i + 1] for i in range(len(word))]  # b"" where a part has gone into the one before it
+    after, before = list(range(1, len(word) + 1)), list(range(-1, len(word) - 1))
+    found = [(ranks.get(word[i : i + 2]), i) for i in range(len(word) - 1)]
+    heap = [x for x in found if x[0] is not None]
+    heapify(heap)
+    while heap:
+        rank, at = heappop(heap)
+        beside = after[at]
+        if not parts[at] or beside == len(parts):
+            continue
+        both = parts[at] + parts[beside]
+        if ranks.get(both) != rank:  # one of the two has been merged meanwhile
+            continue
+        parts[at], parts[beside] = both, b""
+        beside = after[at] = after[beside]
+        if beside < len(parts):
+            before[beside] = at
+            rank = ranks.get(both + parts[beside])
+            if rank is not None:
+                heappush(heap, (rank, at))
+        if at:
+            left = before[at]
+            rank = ranks.get(parts[left] + both)
+            if rank is not None:
+                heappush(heap, (rank, left))
+    return [ranks[x] for x in parts if x]
+
+
+class Encoder:
+    """Ids of texts, with the codes of words that came before. Sent to workers by a broadcast, so that the codes live as long as a worker has it."""
+
+    def __init__(self, ranks: dict[bytes, int], found: tuple[str, str, str]):
+        self.ranks, self.found = ranks, found
+        self.codes: dict[str, bytes] = {}
+
+    def __call__(self, text: str | None) -> bytes:
+        """Little-endian unsigned 32-bit integers."""
+        codes, out = self.codes, []
+        for word in splitter(*self.found)(text or ""):
+            code = codes.get(word)
+            if code is None:
+                code = np.array(merged(self.ranks, word.encode()), "<u4").tobytes()
+                if len(word) <= CACHE_CHARS:
+                    if len(codes) >= CACHE_WORDS:
+                        codes.clear()
+                    codes[word] = code
+            out.append(code)
+        return b"".join(out)
+
+
+def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, text: str = "text", ids: str = "ids", chars: int = SLICE_CHARS) -> DataFrame:
     """The columns of ``docs`` but the text, and ``ids``: binary, little-endian unsigned 32-bit integers.
 
     Each match of ``pattern`` is encoded by itself; what no match covers has no ids. Null and empty texts have no ids. Rows are never
     dropped or merged, so repeated rows give repeated results, and an empty table an empty one. A column of ``docs`` that has the name of the result is replaced by it.
-    A very long text is a block of its own. A very long *word* is folded in time that grows with the square of its length.
+    Results leave a worker after about ``chars`` characters of text.
     """
-    spark = docs.sparkSession
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in (text, ids)]).alias("row")
-    rows = docs.select(row, F.col(f"`{text}`").alias("text"))
-    longs = T.ArrayType(T.LongType())
-    schema = T.StructType(
-        [
-            T.StructField("docs", T.ArrayType(T.StructType([rows.schema["row"], T.StructField("items", T.ArrayType(T.IntegerType()))]))),
-            T.StructField("words", T.ArrayType(T.StructType([T.StructField("ids", longs), T.StructField("ranks", longs)]))),
-        ]
-    )
-    blocks = rows.mapInArrow(partial(_blocks, patterns(pattern), spark.sparkContext.broadcast(ranks), chars), schema)
-    hexes = F.split(F.lit(" ".join(i.to_bytes(4, "little").hex() for i in range(max(ranks.values()) + 1))), " ")
-
-    def codes(merges: Column, hex_of: Column) -> Column:
-        def code(word: Column) -> Column:
-            return _let(fold_merges(merges, word), lambda found: F.array_join(F.transform(F.slice(found, F.lit(2), F.size(found) - 2), lambda i: F.get(hex_of, i.cast("int"))), ""))
-
-        return F.transform("words", code)
-
-    def assembled(code_of: Column) -> Column:
-        return F.transform("docs", lambda d: F.struct(d["row"].alias("row"), F.unhex(F.array_join(F.transform(d["items"], lambda i: F.get(code_of, i)), "")).alias("ids")))
-
-    coded = _let(merge_literal(ranks), lambda merges: _let(hexes, lambda hex_of: _let(codes(merges, hex_of), assembled)))
-    # explode_outer: for explode() Spark would compute the array twice, once to see whether it is empty; no block is.
-    return blocks.select(F.explode_outer(coded).alias("d")).select("d.row.*", F.col("d.ids").alias(ids))
+    encoder = docs.sparkSession.sparkContext.broadcast(Encoder(ranks, patterns(pattern)))
+
+    @F.pandas_udf("binary")
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            for part in slices(texts, chars):
+                yield pd.Series(list(map(encoder.value, part)), dtype=object)
+
+    # Not deterministic to Spark, so that it is not computed again for each use of its result.
+    coded = encode.asNondeterministic()(F.col(f"`{text}`")).alias(ids)
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in (text, ids)], coded)
 
 
 def decoder(spark: SparkSession, ranks: dict[bytes, int]) -> Callable[[Column], Column]:

@@ -82,6 +82,20 @@ def test_other_ranks(spark):
             assert np.frombuffer(r.ids, "<u4").tolist() == other.encode_ordinary(texts[r.doc_id])
 
 
+def test_a_worker_keeps_a_bounded_number_of_words(monkeypatch, library):
+    monkeypatch.setattr(byte_bpe, "CACHE_WORDS", 50)
+    encoder = byte_bpe.Encoder(RANKS, byte_bpe.patterns(public_tokenizers.PATTERN))
+    text = " ".join(f"{'qx'[i % 2]}{'jkvw' * (i % 9)}zq{i}" for i in range(500)) + " " + "jq" * 100
+    assert np.frombuffer(encoder(text), "<u4").tolist() == library.encode_ordinary(text)
+    assert 0 < len(encoder.codes) <= 50
+    assert max(map(len, encoder.codes)) <= byte_bpe.CACHE_CHARS
+
+
+def test_a_very_long_word_is_not_quadratic(library):
+    for word in ("ab" * 150_000, "xyzzy" * 50_000, "a" * 300_000):
+        assert byte_bpe.merged(RANKS, word.encode()) == library.encode_ordinary(word)
+
+
 def test_a_byte_without_a_rank_is_an_error(tmp_path):
     (tmp_path / "few").write_text("YQ== 0\n")
     with pytest.raises(ValueError, match="no rank"):
