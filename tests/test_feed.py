@@ -350,3 +350,13 @@ def test_other_ways_to_the_cohort_deliver_the_same(world, options):
     assert not world.run(run_id="r3").changed
     world.put("spell", "FY2013-14", [(4, "2013/14", "O1", None, "d"), (5, "2013/14", "O1", None, "e")], PARENT)
     assert world.lines(world.run(run_id="r4"), "spell") == []
+
+
+def test_pseudonyms_are_made_when_rows_lie_in_their_parts(spark, world):
+    """What is stored and dealt out holds plain values, which are a fraction of the size of pseudonyms."""
+    run = world.run()
+    work = f"{world.base}/out/work/{run.run_id}"
+    assert sorted(str(r.key) for r in spark.read.parquet(f"{work}/spell_out").collect()) == ["1", "2", "4", "5"]
+    assert sorted(str(r.key) for r in spark.read.parquet(f"{work}/spellDeletes_out").collect()) == ["1", "2", "4", "5"]
+    assert [x.split("|")[0] for x in world.lines(run, "spell")] == sorted(map(code, [1, 2, 4, 5]))
+    assert world.lines(run, live_key_label("spell")) == sorted(map(code, [1, 2, 4, 5]))
