@@ -12,6 +12,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
+
 def slices_of(batch: pa.RecordBatch, column: str, chars: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Parts of an Arrow batch with about ``chars`` characters of text each, and their texts (null: empty); a longer text is a part of its own."""
     texts = [x or "" for x in batch.column(column).to_pylist()]
