@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer
 from tokenizers.pre_tokenizers import Split
 
-from deltaextract.llm.common import slices
+from deltaextract.llm.common import each, slices
 
 CACHE_WORDS = 120_000
 # The word pattern and the word end of the tokenizer files this reads.
@@ -220,24 +220,24 @@ def bpe_columns(spark: SparkSession, tokenizer_path: str) -> tuple:
     @F.pandas_udf("binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = _loaded(spec.value)
-        for texts in batches:
-            for part in slices(texts):
-                yield pd.Series(bpe.encode(part), dtype=object)
+        return each(batches, lambda texts: (pd.Series(bpe.encode(part), dtype=object) for part in slices(texts)))
 
     @F.pandas_udf("string")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = _loaded(spec.value)
-        for ids in batches:
-            yield pd.Series([None if x is None else bpe.decode(x) for x in ids], dtype=object)
+        return each(batches, lambda ids: iter([pd.Series([None if x is None else bpe.decode(x) for x in ids], dtype=object)]))
 
     @F.pandas_udf(CODED)
     def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = _loaded(spec.value)
-        for texts in batches:
+
+        def coded(texts: pd.Series) -> Iterator[pd.DataFrame]:
             for part in slices(texts):
                 ids = bpe.encode(part)
                 yield pd.DataFrame({"ids": ids, "decoded": [bpe.decode(x) for x in ids]})
 
+        return each(batches, coded)
+
     return encode, decode, both
 
 

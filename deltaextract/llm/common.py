@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import sys
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters of text that a Python task works on at a time, whatever the size of the Arrow batch.
 SLICE_CHARS = 1_000_000
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+
 
 def fold_of(doc_id: Column, folds: int) -> Column:
     """Fold of a document: crc32 of its id as text, modulo ``folds``. A null id counts as the empty text."""
@@ -39,6 +44,24 @@ def slices(texts: pd.Series, chars: int = SLICE_CHARS) -> Iterator[list[str | No
         yield out
 
 
+def give_back() -> None:
+    """Returns to the system what the allocators of this process keep of freed batches."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def each(batches: Iterator, work: Callable[..., Iterator]) -> Iterator:
+    """What ``work`` makes of each batch, in order.
+
+    A batch is let go before the next one is read, and its memory goes back to the system: workers outlive their tasks, and all of an executor's share what its JVM leaves.
+    """
+    for batch in batches:
+        yield from work(batch)
+        del batch
+        give_back()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

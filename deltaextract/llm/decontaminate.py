@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from deltaextract.llm.common import plain
+from deltaextract.llm.common import each, plain
 
 WINDOW = 13
 #: Words of benchmark text in one automaton: about 100 bytes each in every Python worker.
@@ -109,10 +109,13 @@ def scan_column(items: list[tuple[str, str | None]], text: Column, window: int)
     @F.pandas_udf(HITS)
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         automaton = Automaton(items, window)
-        for texts in batches:
+
+        def scanned(texts: pd.Series) -> Iterator[pd.DataFrame]:
             rows = [automaton.scan(x) for x in texts]
             yield pd.DataFrame({"n_words": [r[0] for r in rows], "spans": [[{"first": a, "last": b} for a, b in r[1]] for r in rows], "items": [sorted(r[2]) for r in rows]})
 
+        return each(batches, scanned)
+
     return apply.asNondeterministic()(text)
 
 

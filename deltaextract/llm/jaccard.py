@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deltaextract.llm.common import checkpointed, plain, slices
+from deltaextract.llm.common import checkpointed, each, give_back, plain, slices
 from deltaextract.llm.components import components
 
 SHINGLE, THRESHOLD, RECALL = 5, 0.8, 0.9999
@@ -91,7 +91,8 @@ def _sketched(texts: DataFrame, size: int) -> DataFrame:
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = _Shingler(size)
-        for b in batches:
+
+        def rows(b: pd.DataFrame) -> Iterator[pd.DataFrame]:
             done = 0
             for part in slices(b["text"]):
                 sets = [shingles(x) for x in part]
@@ -102,6 +103,8 @@ def _sketched(texts: DataFrame, size: int) -> DataFrame:
                 if sets:
                     yield pd.DataFrame({"key": keys[full].to_numpy(), "shingles": list(map(len, sets)), "sketch": [r.tobytes() for r in sketches(sets)]})
 
+        return each(batches, rows)
+
     return texts.mapInPandas(sketch, "key binary, shingles int, sketch binary")
 
 
@@ -202,6 +205,7 @@ def _loose_links(leaves: DataFrame, sketched: DataFrame, loose: float) -> DataFr
             forest = _Forest(b - a)
             forest.join_rows(_agree(values[a:b], loose))
             out += [(keys[a + v], keys[a + r]) for v in range(b - a) if (r := forest.root(v)) != v]
+        give_back()
         return pd.DataFrame(out, columns=["a", "b"])
 
     packed = leaves.join(sketched.select("key", "sketch"), "key").select(F.pmod(F.xxhash64("path", "i", "j"), F.lit(tasks)).alias("task"), "path", "i", "j", "key", "sketch")
@@ -227,6 +231,7 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
         present = np.zeros((n, min(width, int(number[-1]) + 1 - a)), np.float32)
         present[owner[lo:hi], number[lo:hi] - a] = 1
         out += present @ present.T
+        del present  # before the next one is made
     return out
 
 
@@ -237,24 +242,27 @@ def _exact_links(members: DataFrame, size: int, threshold: float) -> DataFrame:
 
     def shingle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = _Shingler(size)
-        for b in batches:
-            yield b.drop(columns="text").assign(set=[shingles(x).tobytes() for x in b["text"]])
+        return each(batches, lambda b: iter([b.drop(columns="text").assign(set=[shingles(x).tobytes() for x in b["text"]])]))
+
+    def block(rows: pd.DataFrame, between: bool) -> list[tuple[bytes, bytes, int]]:
+        keys, own = rows["key"].tolist(), rows["own"].to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in rows["set"]]
+        both = _intersections(sets)
+        sizes = np.array([len(s) for s in sets], np.float32)
+        linked = both >= threshold * (sizes[:, None] + sizes[None] - both) - 1e-6
+        np.fill_diagonal(linked, False)
+        if between:
+            linked &= own[:, None] != own[None]
+        forest = _Forest(len(keys))
+        forest.join_rows(linked)
+        degree = linked.sum(axis=1)
+        return [(keys[v], keys[forest.root(v)], int(degree[v])) for v in np.flatnonzero(degree)]
 
     def check(group: pd.DataFrame) -> pd.DataFrame:
         out = []
         for (_, i, j), rows in group.groupby(["root", "i", "j"], sort=False):
-            keys, own = rows["key"].tolist(), rows["own"].to_numpy()
-            sets = [np.frombuffer(x, np.uint64) for x in rows["set"]]
-            both = _intersections(sets)
-            sizes = np.array([len(s) for s in sets], np.float32)
-            linked = both >= threshold * (sizes[:, None] + sizes[None] - both) - 1e-6
-            np.fill_diagonal(linked, False)
-            if i != j:
-                linked &= own[:, None] != own[None]
-            forest = _Forest(len(keys))
-            forest.join_rows(linked)
-            degree = linked.sum(axis=1)
-            out += [(keys[v], keys[forest.root(v)], int(degree[v])) for v in np.flatnonzero(degree)]
+            out += block(rows, i != j)
+        give_back()
         return pd.DataFrame(out, columns=["key", "tree", "links"])
 
     packed = members.withColumn("task", F.pmod(F.xxhash64("root", "i", "j"), F.lit(tasks))).drop("shingles", "n")

@@ -17,11 +17,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deltaextract.llm.common import each
+
 PIECES, PIECE_CHARS, MAX_LANGUAGES = 64, 400, 500
 BLOCK_BYTES = 4096
 #: Rejected: the best two languages differ by less than this share of the compressed bytes.
@@ -67,7 +70,8 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", pieces: int
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not named:
         return CompressionModel((), ())
-    picked = docs.sparkSession.createDataFrame([(r["lang"], r["h"]) for r in named], "lang string, h long")
+    # As an Arrow table: rows of Python would be read by Python workers of their own, which stay in each executor.
+    picked = docs.sparkSession.createDataFrame(pa.table({"lang": pa.array([r["lang"] for r in named], pa.string()), "h": pa.array([r["h"] for r in named], pa.int64())}))
     found = (
         hashed.select("lang", "h", F.substring("text", 1, piece_chars).alias("piece"))
         .join(F.broadcast(picked), ["lang", "h"], "left_semi")
@@ -117,9 +121,12 @@ def predict(model: CompressionModel, text: Column, margin: float = MARGIN) -> Co
     @F.pandas_udf(PREDICTED)
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         predictor = _Predictor(model)
-        for texts in batches:
+
+        def found(texts: pd.Series) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame([predictor(x, margin) for x in texts], columns=["lang", "score", "margin", "rejected"]).astype({"score": float, "margin": float, "rejected": bool})
 
+        return each(batches, found)
+
     return apply.asNondeterministic()(text)
 
 

@@ -3,10 +3,12 @@
 import hashlib
 import math
 import re
+import weakref
 import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -326,3 +328,50 @@ def test_licences_wrapped_over_lines(spark, docs):
 
 def test_digest_of_items():
     assert decontaminate.items_digest(["10", "9"]) == hashlib.sha256(b"10,9").hexdigest()
+
+
+@pytest.fixture
+def tasks_made(spark, monkeypatch):
+    """The functions given to pandas_udf and mapInPandas, as Python workers call them."""
+    frame = type(spark.range(1))
+    made, udf, over = [], F.pandas_udf, frame.mapInPandas
+    monkeypatch.setattr(F, "pandas_udf", lambda *a, **b: udf(*a, **b) if b else lambda f: made.append(f) or udf(*a)(f))
+    monkeypatch.setattr(frame, "mapInPandas", lambda df, f, kind, **more: made.append(f) or over(df, f, kind, **more))
+    return made
+
+
+def test_workers_let_a_batch_go_before_the_next_is_read(spark, tasks_made):
+    some = [f"word{k} and some more words of text number {k}" for k in range(6)]
+    bpe.bpe_columns(spark, PATH)
+    encode, decode, both = tasks_made
+    ids = [b"\x01\0\0\0"] * 3
+    language.predict(language.CompressionModel(("de", "en"), (b"der die das und nicht", b"the and some more words")), F.col("text"))
+    decontaminate.scan_column([("a", some[0])], F.col("text"), 3)
+    jaccard._sketched(spark.createDataFrame([(b"a", "a")], "key binary, text string"), 5)
+    jaccard._exact_links(spark.createDataFrame([], "root binary, i int, j int, own int, key binary, text string, shingles int"), 5, 0.8)
+    assert len(tasks_made) == 7
+    for task in tasks_made:
+        frames = task in tasks_made[5:]
+        made, alive = 0, []
+
+        def batches(task=task, frames=frames, alive=alive):
+            for k in range(3):
+                assert not any(old() is not None for old in alive), task
+                texts = pd.Series(ids if task is decode else some[2 * k : 2 * k + 2] + [None])
+                batch = pd.DataFrame({"key": [b"a", b"b", b"c"], "text": texts}) if frames else texts
+                alive.append(weakref.ref(batch))
+                yield batch
+                del batch, texts
+
+        for out in task(batches()):
+            made += len(out)
+            del out
+        assert made == (6 if task is tasks_made[5] else 9) and len(alive) == 3
+
+
+def test_language_fit_starts_no_python_workers(spark, docs, monkeypatch):
+    """Rows of Python given to createDataFrame would be read by workers of their own in every executor."""
+    before = language.fit(docs.select("text", "lang"))
+    assert before.languages
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", lambda *a, **b: pytest.fail("rows went through Python workers"))
+    assert language.fit(docs.select("text", "lang")) == before
